@@ -8,6 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.app_log import app_line
+from ..operators.parse import parse_access_lines
+
 # "Now" of all queries over the test tables.
 AS_OF = "2024-01-30 00:00:00"
 
@@ -57,9 +60,8 @@ LOG_EVENTS_SQL = f"""log_events as (
   from events)"""
 
 
-def access_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lines_of(e: DataFrame) -> DataFrame:
     """Raw access-log lines of both formats, one in fifty corrupted, as ``event_id, value``."""
-    e = events(spark, sf_dir)
     millis = F.lpad((F.col("event_id") % 2000).cast("string"), 4, "0")
     head = F.concat(
         F.lit("10.0."), (F.col("user_id") % 4).cast("string"), F.lit("."), (F.col("user_id") % 250).cast("string"),
@@ -76,6 +78,10 @@ def access_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", line.alias("value"))
 
 
+def access_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines_of(events(spark, sf_dir))
+
+
 # What parsing those lines must give, straight from the table.
 ACCESS_LOGS_SQL = f"""access_logs as (
   select event_id,
@@ -94,15 +100,11 @@ ACCESS_LOGS_SQL = f"""access_logs as (
 
 
 def parsed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.parse import parse_access_lines
-
     return parse_access_lines(access_lines(spark, sf_dir), AS_OF, keep=["event_id"])
 
 
 def file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Application log lines, as collected from one file per source."""
-    from ..functions.app_log import app_line
-
     e = events(spark, sf_dir)
     line = app_line(
         F.col("ts"), F.expr(LEVEL_CASE), F.expr(SOURCE_CASE), F.col("event_id") + 1_000_000,
