@@ -7,10 +7,12 @@ so the longer reading wins whenever it fits.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from .text import capture_groups
-from .time import Moment, moment
+from .time import Moment, from_epoch_seconds, moment
 
 # The line formats, the time format, labels and failure reasons.
 COMMON_PART = r'^(\S+) \S+ \S+ \[([^\]]+)\] "(\S+) (\S+) \S+" (\d+) (\d+|-)'
@@ -36,41 +38,34 @@ def wall_clock(text: Column) -> Column:
     back. Going through epoch seconds keeps the session time zone out of it.
     """
     instant = F.unix_seconds(F.try_to_timestamp(text, F.lit(TIME_FORMAT)))
-    hours = F.substring(text, -4, 2).try_cast("bigint")
-    minutes = F.substring(text, -2, 2).try_cast("bigint")
-    offset = hours * 3600 + minutes * 60
-    shifted = instant + F.when(F.substring(text, -5, 1) == "-", -offset).otherwise(offset)
-    return moment("1970-01-01") + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), shifted.cast("decimal(18,6)"))
+    hhmm = F.right(text, F.lit(5)).try_cast("int")
+    offset = (hhmm - hhmm % 100) * 36 + hhmm % 100 * 60
+    return from_epoch_seconds(instant + offset)
 
 
-def failure_reason(groups: dict[str, Column], matched: Column) -> Column:
+def failure_reason(groups: Callable[[str], Column], matched: Column) -> Column:
     """Why a line cannot be stored: no known format, or a number that does not fit its type."""
 
     def unreadable(text: Column, type_name: str) -> Column:
-        return F.when(
-            text.isNotNull() & text.try_cast(type_name).isNull(),
-            F.concat(F.lit(PARSE_ERROR + 'For input string: "'), text, F.lit('"')))
+        return F.when(text.isNotNull() & text.try_cast(type_name).isNull(), text)
 
-    return F.when(~matched, F.lit(UNKNOWN_FORMAT)).otherwise(F.coalesce(
-        unreadable(groups["status"], "int"),
-        unreadable(F.nullif(groups["size"], F.lit("-")), "bigint"),
-        unreadable(F.nullif(groups["rt"], F.lit("")), "double"),
-    ))
+    text = F.coalesce(
+        unreadable(groups("status"), "int"),
+        unreadable(F.nullif(groups("size"), F.lit("-")), "bigint"),
+        unreadable(F.nullif(groups("rt"), F.lit("")), "double"),
+    )
+    return F.when(~matched, F.lit(UNKNOWN_FORMAT)).otherwise(
+        F.concat(F.lit(PARSE_ERROR + 'For input string: "'), text, F.lit('"')))
 
 
-def parse_metadata(good: Column, combined: Column, agent: Column, referer: Column,
-                   reason: Column, as_of: Moment) -> Column:
+def parse_metadata(groups: Callable[[str], Column], reason: Column, as_of: Moment) -> Column:
     """How the line was parsed: version and flags for a good line, reason for a failed one."""
-
-    def present(text: Column) -> Column:
-        return F.when(good & combined, text.isNotNull() & (text != "-"))
-
+    good, combined = reason.isNull(), groups("mark") != ""
     return F.struct(
         F.when(good, moment(as_of)).alias("parsed_at"),
         F.when(good, F.lit(PARSER_VERSION)).alias("parser_version"),
-        present(agent).alias("has_user_agent"),
-        present(referer).alias("has_referer"),
+        F.when(combined, groups("agent") != "-").alias("has_user_agent"),
+        F.when(combined, groups("referer") != "-").alias("has_referer"),
         reason.alias("parse_failure_reason"),
         F.when(~good, moment(as_of)).alias("failed_at"),
     )

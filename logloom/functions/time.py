@@ -23,9 +23,9 @@ def before(value: Moment, **span: float) -> datetime:
     return as_datetime(value) - timedelta(**span)
 
 
-def seconds(count: int) -> Column:
+def seconds(count: int | Column) -> Column:
     """An interval of whole seconds."""
-    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(count).cast("decimal(18,6)"))
+    return F.expr("interval '1' second") * (F.lit(count) if isinstance(count, int) else count)
 
 
 def epoch_seconds(ts: Column) -> Column:
@@ -36,10 +36,7 @@ def epoch_seconds(ts: Column) -> Column:
 
 def from_epoch_seconds(value: Column) -> Column:
     """Inverse of :func:`epoch_seconds`."""
-    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(value / 86400).cast("int"))
-    rest = F.pmod(value, F.lit(86400))
-    return day.cast("timestamp_ntz") + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), rest.cast("decimal(18,6)"))
+    return moment("1970-01-01") + seconds(value)
 
 
 def bucket(ts: Column, width_seconds: int) -> Column:

@@ -28,7 +28,8 @@ from .latest import latest_per_key
 
 # Fixed value: how long a seen line is remembered.
 REPEAT_SECONDS = 30 * 60
-LIST_LIMIT = 2_000
+LIST_LIMIT = 10_000
+SETTLE_ROUNDS = 4
 
 
 def busy_keys(df: DataFrame, key: str, limit: int) -> DataFrame:
@@ -86,12 +87,15 @@ def chain_by_doubling(times: DataFrame, key: str, ts: str, ttl_seconds: int) ->
     links = settle(_successors(times, key, ts, seconds(ttl_seconds)).filter(F.col("_next").isNotNull()))
     members = spans.select(key, F.col("_min").alias(ts))
     for done in range(rounds):
-        reached = members.join(links, [key, ts]).select(key, F.col("_next").alias(ts))
-        members = settle(members.unionByName(reached))
+        # A member goes on as itself and, where it has a link, as the time the link leads to.
+        both = F.explode(F.array_compact(F.array(F.col(ts), F.col("_next"))))
+        members = members.join(links, [key, ts], "left").select(key, both.alias(ts))
+        if done % SETTLE_ROUNDS == SETTLE_ROUNDS - 1:
+            members = settle(members)
         if done + 1 < rounds:
             onward = links.select(key, F.col(ts).alias("_next"), F.col("_next").alias("_far"))
             links = settle(links.join(onward, [key, "_next"]).select(key, ts, F.col("_far").alias("_next")))
-    return members
+    return settle(members)
 
 
 def _split_busy(df: DataFrame, key: str, list_limit: int) -> tuple[DataFrame, DataFrame | None]:

@@ -29,32 +29,33 @@ def parse_access_lines(lines: DataFrame, as_of: Moment, line: str = "value",
     """
     keep = keep or []
     cut = _cut_once(lines, keep, line, access.line_groups)
-    group = {name: F.get(F.col("_groups"), F.lit(i)) for i, name in enumerate(access.GROUPS)}
-    matched = fits(F.col("_groups"), len(access.GROUPS))
-    checked = cut.withColumn("_reason", access.failure_reason(group, matched))
-    good, combined = F.col("_reason").isNull(), group["mark"] != ""
 
-    def if_good(value):
-        return F.when(good, value)
+    def of(column: str) -> Callable[[str], Column]:
+        return lambda name: F.get(F.col(column), F.lit(access.GROUPS.index(name)))
 
-    time = access.wall_clock(group["time"])
-    timed = checked.withColumn("_time", if_good(time))
-    referer, agent = group["referer"], group["agent"]
+    matched = fits(F.col("_groups"), len(access.GROUPS))
+    checked = cut.select("*", F.explode(F.array(access.failure_reason(of("_groups"), matched))).alias("_reason"))
+    # The groups of a failed line are null from here on, and with them all its fields.
+    fields = checked.withColumn("_good", F.when(F.col("_reason").isNull(), F.col("_groups")))
+    group = of("_good")
+    timed = fields.withColumn("_time", access.wall_clock(group("time")))
+    combined = group("mark") != ""
     return timed.select(
         *keep,
         F.coalesce(F.col("_time"), moment(as_of)).alias("timestamp"),
-        if_good(group["ip"]).alias("ip_address"),
-        if_good(group["method"]).alias("http_method"),
-        if_good(group["path"]).alias("request_path"),
-        if_good(group["status"].try_cast("int")).alias("status_code"),
-        if_good(F.nullif(group["size"], F.lit("-")).try_cast("bigint")).alias("response_size"),
-        F.when(good & combined, agent).alias("user_agent"),
-        F.when(good & combined, referer).alias("referer"),
-        if_good(F.nullif(group["rt"], F.lit("")).try_cast("double")).alias("response_time"),
-        F.when(~good, access.FAILED).when(combined, access.NGINX).otherwise(access.APACHE).alias("log_format"),
+        group("ip").alias("ip_address"),
+        group("method").alias("http_method"),
+        group("path").alias("request_path"),
+        group("status").try_cast("int").alias("status_code"),
+        F.nullif(group("size"), F.lit("-")).try_cast("bigint").alias("response_size"),
+        F.when(combined, group("agent")).alias("user_agent"),
+        F.when(combined, group("referer")).alias("referer"),
+        F.nullif(group("rt"), F.lit("")).try_cast("double").alias("response_time"),
+        F.when(F.col("_reason").isNotNull(), access.FAILED).when(combined, access.NGINX)
+        .otherwise(access.APACHE).alias("log_format"),
         F.col("raw_log"),
-        (good & F.col("_time").isNull()).alias("timestamp_defaulted"),
-        access.parse_metadata(good, combined, agent, referer, F.col("_reason"), as_of).alias("metadata"),
+        (F.col("_reason").isNull() & F.col("_time").isNull()).alias("timestamp_defaulted"),
+        access.parse_metadata(group, F.col("_reason"), as_of).alias("metadata"),
     )
 
 
