@@ -8,7 +8,8 @@ CORRUPT = "_corrupt"
 
 
 def decode(df: DataFrame, schema: T.StructType, value: str = "value", out: str = "event") -> DataFrame:
-    """Read a JSON column into a struct; text that is no such record lands in ``_corrupt``.
+    """Read a JSON column into a struct; text that is no such record lands in ``_corrupt``
+    (a null value as empty text).
 
     Unknown fields are ignored. JSON values of another kind inside a string map are
     kept as their JSON text.
@@ -22,7 +23,7 @@ def decode(df: DataFrame, schema: T.StructType, value: str = "value", out: str =
     return decoded.select(
         *df.columns,
         F.when(~bad, F.struct(*[F.col("_read")[n].alias(n) for n in names])).alias(out),
-        F.when(bad, F.coalesce(F.col(f"_read.{CORRUPT}"), F.col(value))).alias(CORRUPT),
+        F.when(bad, F.coalesce(F.col(f"_read.{CORRUPT}"), F.col(value), F.lit(""))).alias(CORRUPT),
     )
 
 

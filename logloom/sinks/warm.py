@@ -74,15 +74,15 @@ def apply_retention(spark: SparkSession, path: str, as_of: Moment, days: int = R
     deleted = expired(old_days, as_of, days).count()
     if not deleted:
         return 0
-    gone = [r["date"] for r in old_days.filter(F.col("date") < F.lit(limit.date())).select("date").distinct().collect()]
+    past = old_days.filter(F.col("date") < F.lit(limit.date())).select("date").distinct()
+    gone = [day_folder(row["date"]) for row in past.collect()]
+    # A day holds one folder per batch if it was written in batches; each is replaced or goes.
+    columns = [c for c in ("date", "batch") if c in stored.columns]
     last_day = stored.filter(F.col("date") == F.lit(limit.date()))
     kept = settle(retained(last_day, as_of, days))
-    if kept.isEmpty():
-        gone.append(limit.date())
-    else:
-        replace_partitions(kept, path, [c for c in ("date", "batch") if c in kept.columns])
-        if "batch" in kept.columns:
-            batches = last_day.select("batch").distinct().join(kept.select("batch").distinct(), "batch", "left_anti")
-            drop_partitions(spark, path, [f"{day_folder(limit.date())}/batch={r['batch']}" for r in batches.collect()])
-    drop_partitions(spark, path, [day_folder(day) for day in gone])
+    emptied = last_day.select(columns).distinct().join(kept.select(columns).distinct(), columns, "left_anti")
+    gone += ["/".join(f"{c}={row[c]}" for c in columns) for row in emptied.collect()]
+    if not kept.isEmpty():
+        replace_partitions(kept, path, columns)
+    drop_partitions(spark, path, gone)
     return deleted
