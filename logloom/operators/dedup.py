@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 
 from ..functions.time import Moment, bucket, moment, seconds
 from ..session import settle
-from .frames import same_keys, spread
+from .frames import spread
 from .latest import latest_per_key
 
 # Fixed value: how long a seen line is remembered.
@@ -68,8 +68,8 @@ def _successors(times: DataFrame, key: str, ts: str, ttl: Column) -> DataFrame:
     local = placed.withColumn("_next", F.min(is_time).over(following)).filter(F.col("_kind") == 0)
     firsts = placed.groupBy(key, "_part").agg(F.min(is_time).alias("_first"))
     later = W.partitionBy(key).orderBy(F.col("_part").desc()).rowsBetween(W.unboundedPreceding, -1)
-    ahead = firsts.select(F.col(key).alias("_k"), F.col("_part").alias("_p"), F.min("_first").over(later).alias("_ahead"))
-    return local.join(ahead, same_keys(local, ahead, {key: "_k", "_part": "_p"})).select(
+    ahead = firsts.select(key, "_part", F.min("_first").over(later).alias("_ahead"))
+    return local.join(ahead, [key, "_part"]).select(
         F.col(key), F.col("_from").alias(ts), F.coalesce("_next", "_ahead").alias("_next"))
 
 

@@ -8,7 +8,6 @@ the few facts that must cross a task border are carried separately.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pyspark.sql.window import WindowSpec
@@ -16,39 +15,38 @@ from pyspark.sql.window import WindowSpec
 from ..session import settle
 
 BLOCK_ROWS = 500_000
-
-
-def same_keys(left: DataFrame, right: DataFrame, pairs: dict[str, str]) -> Column:
-    """Null-safe equality of key columns."""
-    return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs.items()])
+_PART_BITS = 33  # monotonically_increasing_id keeps the task number above this many bits
 
 
 def spread(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Rows in global (keys, order) order, cut into tasks of similar size.
 
-    Adds ``_part`` (number of the cut) and ``_place`` (position, ascending over all
-    rows). ``order`` should end in a unique column; then no group of rows is too big
-    to be cut. The result is written once, so later steps agree on the cuts.
+    Adds ``_part`` (number of the cut) and ``_place`` (ascending over all rows, with
+    gaps between cuts). ``order`` should end in a unique column; then no group of rows
+    is too big to be cut. The result is written once, so later steps agree on the cuts.
     """
     placed = (
         df.repartitionByRange(*keys, *order)
         .sortWithinPartitions(*keys, *order)
         .withColumn("_place", F.monotonically_increasing_id())
     )
-    return settle(placed).withColumn("_part", F.shiftright("_place", 33))
+    return settle(placed).withColumn("_part", F.shiftright("_place", _PART_BITS))
+
 
+def in_blocks(df: DataFrame, keys: list[str], order: list[str], block_rows: int) -> DataFrame:
+    """Rows in global order with ``_pos``, a gapless position from 0, and ``_home``, their block of ``block_rows``.
 
-def number_rows(df: DataFrame, keys: list[str], order: list[str], out: str = "seq") -> DataFrame:
-    """1-based row number inside each key without gathering a key in one task."""
+    The position needs the number of rows in earlier cuts. That table has one row per
+    cut, which is why it may be broadcast.
+    """
     placed = spread(df, keys, order)
-    parts = placed.groupBy(*keys, "_part").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    earlier = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    starts = parts.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_part").alias("_p"), "_first",
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    pairs = {**{k: f"_k_{k}" for k in keys}, "_part": "_p"}
-    return placed.join(starts, same_keys(placed, starts, pairs)).select(
-        *df.columns, (F.col("_place") - F.col("_first") + F.col("_before") + 1).alias(out))
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+    inside = F.col("_place") - F.shiftleft("_part", _PART_BITS)
+    positioned = placed.join(F.broadcast(starts), "_part").withColumn("_pos", inside + F.col("_start"))
+    return positioned.withColumn("_home", F.floor(F.col("_pos") / block_rows).cast("bigint")).drop(
+        "_part", "_place", "_start")
 
 
 def over_last_rows(df: DataFrame, keys: list[str], order: list[str], rows: int,
@@ -56,33 +54,34 @@ def over_last_rows(df: DataFrame, keys: list[str], order: list[str], rows: int,
                    block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Window columns over the current and the ``rows - 1`` preceding rows of a key.
 
-    Each key is cut into blocks of ``block_rows``; the last ``rows - 1`` rows of a block
-    are copied to the next one, so every frame is complete inside one block.
+    The globally ordered rows are cut into blocks; the last ``rows - 1`` rows of a block
+    are copied to the next one. The rows of a key follow each other, so every frame is
+    complete inside one block, and no window group is longer than a block and its copies.
     """
     halo = rows - 1
     if halo >= block_rows:
         raise ValueError("a block must be longer than the frame")
-    numbered = number_rows(df, keys, order, "_seq")
-    home = F.floor((F.col("_seq") - 1) / block_rows).cast("bigint")
-    at_end = (F.col("_seq") - 1) % block_rows >= block_rows - halo
-    blocks = numbered.withColumn("_home", home).withColumn(
+    blocks = in_blocks(df, keys, order, block_rows)
+    at_end = F.col("_pos") % block_rows >= block_rows - halo
+    copied = blocks.withColumn(
         "_block", F.explode(F.when(at_end, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))))
-    frame = W.partitionBy(*keys, "_block").orderBy("_seq").rowsBetween(-halo, W.currentRow)
-    framed = blocks.withColumns({name: make(frame) for name, make in columns.items()})
-    return framed.filter(F.col("_block") == F.col("_home")).drop("_seq", "_home", "_block")
+    frame = W.partitionBy(*keys, "_block").orderBy("_pos").rowsBetween(-halo, W.currentRow)
+    framed = copied.withColumns({name: make(frame) for name, make in columns.items()})
+    return framed.filter(F.col("_block") == F.col("_home")).drop("_pos", "_home", "_block")
 
 
 def running_sum_before(df: DataFrame, keys: list[str], order: list[str], value: Column,
-                       out: str) -> DataFrame:
-    """Sum of ``value`` over all earlier rows of the key, 0 for the first."""
-    placed = spread(df, keys, order).withColumn("_v", value)
-    sums = placed.groupBy(*keys, "_part").agg(F.sum("_v").alias("_sum"))
-    earlier = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    starts = sums.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_part").alias("_p"),
-        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
-    inside = W.partitionBy(*keys, "_part").orderBy("_place").rowsBetween(W.unboundedPreceding, -1)
-    local = placed.withColumn("_local", F.coalesce(F.sum("_v").over(inside), F.lit(0)))
-    pairs = {**{k: f"_k_{k}" for k in keys}, "_part": "_p"}
-    return local.join(starts, same_keys(local, starts, pairs)).select(
+                       out: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Sum of ``value`` over all earlier rows of the key, 0 for the first.
+
+    Summed inside each block, plus the sums of the key's earlier blocks: one number per
+    key and block.
+    """
+    blocks = in_blocks(df, keys, order, block_rows).withColumns({"_v": value, "_key": F.struct(*keys)})
+    sums = blocks.groupBy("_key", "_home").agg(F.sum("_v").alias("_sum"))
+    earlier = W.partitionBy("_key").orderBy("_home").rowsBetween(W.unboundedPreceding, -1)
+    starts = sums.select("_key", "_home", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    inside = W.partitionBy("_key", "_home").orderBy("_pos").rowsBetween(W.unboundedPreceding, -1)
+    local = blocks.withColumn("_local", F.coalesce(F.sum("_v").over(inside), F.lit(0)))
+    return local.join(starts, ["_key", "_home"]).select(
         *df.columns, (F.col("_before") + F.col("_local")).cast("bigint").alias(out))

@@ -57,9 +57,11 @@ def lookup_hot_then_warm(keys: DataFrame, hot: DataFrame, warm: DataFrame, tie:
 
 
 def newest_with_copies(events: DataFrame, tie: str = "id") -> DataFrame:
-    """Newest event per trace id and how many events share it; both are merged before the shuffle."""
-    copies = events.groupBy("trace_id").agg(F.count(F.lit(1)).alias("copies"))
-    return newest(events, ["trace_id"], tie=tie).join(copies, "trace_id")
+    """Newest event per trace id and how many events share it, merged before the shuffle."""
+    row = F.struct(*[c for c in events.columns if c != "trace_id"])
+    found = events.groupBy("trace_id").agg(
+        F.max_by(row, F.struct("timestamp", tie)).alias("_row"), F.count(F.lit(1)).alias("copies"))
+    return found.select("trace_id", "_row.*", "copies").select(*events.columns, "copies")
 
 
 def live_locations(locations: DataFrame, as_of: Moment) -> DataFrame:

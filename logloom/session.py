@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SHARED_DIRS: dict[str, str] = {}
+_SETTLED: list[str] = []
 
 
 def build_session(app_name: str = "logloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -53,12 +55,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and go on from the written copy.
+    """Write ``df`` as a table to the shared folder and go on from the written copy.
 
-    Used where later steps must see exactly the rows, and the row order, of one
+    Used where later steps must see exactly the rows, and the row numbers, of one
     evaluation: executors may be lost and tasks rerun after it without any change.
+    Steps that need few of the columns read just those.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/logloom-settled/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _SETTLED.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def forget_settled(spark: SparkSession) -> None:
+    """Delete the tables this process has settled, once no result depends on them any more."""
+    while _SETTLED:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_SETTLED.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

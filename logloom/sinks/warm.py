@@ -14,11 +14,20 @@ from .layout import (day_folder, drop_partitions, on_days, replace_partitions, t
 
 # Fixed value: how long events are kept.
 RETENTION_DAYS = 30
+LOOKUP_COLUMNS = ["id", "trace_id"]
+
+
+def bloom_filters(columns: list[str]) -> dict[str, str]:
+    """Write options that let a lookup by one of the columns skip row groups without its value."""
+    return {f"parquet.bloom.filter.enabled#{name}": "true" for name in columns}
 
 
 def append_events(events: DataFrame, path: str, batch_id: int | None = None,
                   within: list[str] | None = None) -> None:
-    write_partitions(with_day(events), path, ["date"], batch_id=batch_id, within=within)
+    """Append to the day partitions, sorted by time inside files, with filters for lookups by id."""
+    looked_up = [name for name in LOOKUP_COLUMNS if name in events.columns]
+    write_partitions(with_day(events), path, ["date"], batch_id=batch_id, within=within or ["timestamp"],
+                     **bloom_filters(looked_up))
 
 
 def append_metadata(events: DataFrame, path: str, batch_id: int | None = None, key: str = "id") -> None:

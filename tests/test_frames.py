@@ -23,10 +23,12 @@ def by_key(data):
     return groups
 
 
-def test_number_rows(skewed):
+def test_positions_are_gapless_and_ordered(skewed):
     data, df = skewed
-    expected = {n: i + 1 for rows in by_key(data).values() for i, (n, _) in enumerate(rows)}
-    assert {r["n"]: r["seq"] for r in frames.number_rows(df, ["k"], ["n"]).collect()} == expected
+    got = frames.in_blocks(df, ["k"], ["n"], 100).collect()
+    expected = sorted(data, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+    assert {r["n"]: (r["_pos"], r["_home"]) for r in got} == {
+        row[1]: (i, i // 100) for i, row in enumerate(expected)}
 
 
 def test_a_hot_key_is_spread(spark, skewed):
@@ -53,12 +55,13 @@ def test_over_last_rows(skewed, block):
     assert {r["n"]: (r["s"], r["c"]) for r in got.collect()} == expected
 
 
-def test_running_sum_before(spark, skewed):
+@pytest.mark.parametrize("block", [13, 100_000])
+def test_running_sum_before(spark, skewed, block):
     data, df = skewed
     before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        got = frames.running_sum_before(df, ["k"], ["n"], F.col("v"), "before").collect()
+        got = frames.running_sum_before(df, ["k"], ["n"], F.col("v"), "before", block).collect()
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
     expected = {}
