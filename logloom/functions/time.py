@@ -13,6 +13,10 @@ def as_datetime(value: Moment) -> datetime:
     return value if isinstance(value, datetime) else datetime.fromisoformat(value)
 
 
+def as_epoch_seconds(value: Moment) -> int:
+    return (as_datetime(value) - datetime(1970, 1, 1)) // timedelta(seconds=1)
+
+
 def moment(value: Moment) -> Column:
     """A zone-less timestamp literal. It folds to a constant, so comparisons reach the file scan."""
     return F.lit(as_datetime(value).isoformat(sep=" ")).cast("timestamp_ntz")

@@ -166,25 +166,42 @@ def remember(seen: DataFrame, kept: DataFrame, as_of: Moment, key: str = "conten
     return both.groupBy(key).agg(F.max(ts).alias(ts)).filter(F.col(ts) + seconds(ttl_seconds) > moment(as_of))
 
 
+def _with_opening(requests: DataFrame, openings: DataFrame, client: str, ts: str, window_seconds: int) -> DataFrame:
+    """Each request with the time its window opened.
+
+    A request finds its opening in its own or the previous clock-aligned bucket, so the
+    join is on equal keys, with at most three openings per client and bucket.
+    """
+    opened = openings.select(
+        client, F.col(ts).alias("window_start"),
+        F.explode(F.array(bucket(F.col(ts), window_seconds), bucket(F.col(ts), window_seconds) + 1)).alias("_bucket"))
+    timed = requests.withColumn("_bucket", bucket(F.col(ts), window_seconds))
+    joined = timed.join(opened, [client, "_bucket"])
+    inside = (F.col(ts) >= F.col("window_start")) & (F.col(ts) < F.col("window_start") + seconds(window_seconds))
+    return joined.filter(inside).drop("_bucket")
+
+
 def anchored_window_report(requests: DataFrame, client: str, window_seconds: int = 60, limit: int = 100,
                            ts: str = "timestamp", list_limit: int = LIST_LIMIT) -> DataFrame:
     """Requests per client and window, where a window opens at the first request after the last one closed.
 
-    The openings are the same chains as above. A request finds its opening in its own
-    or the previous clock-aligned bucket, so the join is on equal keys.
+    The openings are the same chains as above. Requests of one moment are counted
+    before they are joined to their opening.
     """
     openings = chain_times(requests, client, ts, window_seconds, list_limit)
-    spread_openings = openings.select(
-        F.col(client).alias("_client"), F.col(ts).alias("opened"),
-        F.explode(F.array(bucket(F.col(ts), window_seconds), bucket(F.col(ts), window_seconds) + 1)).alias("_b"))
-    timed = requests.filter(F.col(client).isNotNull() & F.col(ts).isNotNull()).select(
-        client, F.col(ts).alias("_at"), bucket(F.col(ts), window_seconds).alias("_bucket"))
-    per_time = timed.groupBy(client, "_at", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    inside = (
-        (F.col(client) == F.col("_client")) & (F.col("_bucket") == F.col("_b"))
-        & (F.col("_at") >= F.col("opened")) & (F.col("_at") < F.col("opened") + seconds(window_seconds)))
-    counted = per_time.join(spread_openings, inside).groupBy(client, "opened").agg(F.sum("_n").alias("requests"))
+    per_time = requests.groupBy(client, ts).agg(F.count(F.lit(1)).alias("_n"))
+    counted = _with_opening(per_time, openings, client, ts, window_seconds).groupBy(client, "window_start").agg(
+        F.sum("_n").alias("requests"))
     return counted.select(
-        client, F.col("opened").alias("window_start"), "requests",
+        client, "window_start", "requests",
         F.least("requests", F.lit(limit)).cast("bigint").alias("allowed"),
         F.greatest(F.col("requests") - limit, F.lit(0)).cast("bigint").alias("rejected"))
+
+
+def anchored_window_admitted(requests: DataFrame, client: str, window_seconds: int = 60, limit: int = 100,
+                             ts: str = "timestamp", tie: str = "id", list_limit: int = LIST_LIMIT) -> DataFrame:
+    """The requests that fit: the first ``limit`` of each such window, with its ``window_start``."""
+    openings = chain_times(requests, client, ts, window_seconds, list_limit)
+    opened = _with_opening(requests, openings, client, ts, window_seconds)
+    rank = F.row_number().over(W.partitionBy(client, "window_start").orderBy(ts, tie))
+    return opened.withColumn("_rank", rank).filter(F.col("_rank") <= limit).select(*requests.columns, "window_start")

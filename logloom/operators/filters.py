@@ -1,7 +1,9 @@
 """Predicates of the query API, each a plain filter that Catalyst can push to the scan.
 
-Tables written by this library carry a ``date`` partition column. When the input has
-one, every time bound is repeated on it so that whole partitions are skipped.
+Tables written by this library carry a ``date`` partition column and the time once more
+as ``epoch_s``, whole seconds. When the input has them, every time bound is repeated on
+them: the first skips whole partitions, the second skips row groups inside files, which
+a bound on a zone-less timestamp does not.
 """
 
 from __future__ import annotations
@@ -11,18 +13,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import contains_ignore_case, like_keyword
-from ..functions.time import Moment, as_datetime, before, moment
+from ..functions.time import Moment, as_datetime, as_epoch_seconds, before, moment
 
-DAY = "date"
+DAY, EPOCH = "date", "epoch_s"
 # Levels that always go to the cold tier, and the age that makes any event cold.
 COLD_LEVELS = ["ERROR", "WARN"]
 COLD_AGE_DAYS = 7
 
 
-def _day(value: Moment) -> Column:
-    return F.lit(as_datetime(value).date())
-
-
 def all_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions, F.lit(True))
 
@@ -30,20 +28,21 @@ def all_of(conditions: list[Column]) -> Column:
 def time_conditions(df: DataFrame, start: Moment | None = None, end: Moment | None = None,
                     after: Moment | None = None, ts: str = "timestamp") -> list[Column]:
     """``start`` and ``end`` are inclusive, ``after`` is strict."""
+    time = F.col(ts)
+    bounds = [
+        (start, lambda v: time >= moment(v), lambda column, v: column >= v),
+        (after, lambda v: time > moment(v), lambda column, v: column >= v),
+        (end, lambda v: time <= moment(v), lambda column, v: column <= v),
+    ]
     conditions: list[Column] = []
-    by_day = DAY in df.columns
-    if start is not None:
-        conditions.append(F.col(ts) >= moment(start))
-        if by_day:
-            conditions.append(F.col(DAY) >= _day(start))
-    if after is not None:
-        conditions.append(F.col(ts) > moment(after))
-        if by_day:
-            conditions.append(F.col(DAY) >= _day(after))
-    if end is not None:
-        conditions.append(F.col(ts) <= moment(end))
-        if by_day:
-            conditions.append(F.col(DAY) <= _day(end))
+    for value, exact, coarse in bounds:
+        if value is None:
+            continue
+        conditions.append(exact(value))
+        if DAY in df.columns:
+            conditions.append(coarse(F.col(DAY), F.lit(as_datetime(value).date())))
+        if EPOCH in df.columns:
+            conditions.append(coarse(F.col(EPOCH), F.lit(as_epoch_seconds(value))))
     return conditions
 
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from collections import deque
+from collections.abc import Callable
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from ..functions.time import Moment, as_datetime, before, bucket, epoch_seconds, from_epoch_seconds, moment
 from .frames import BLOCK_ROWS, over_last_rows
@@ -114,6 +118,45 @@ def sliding_window_requests(requests: DataFrame, key: str, window_seconds: int,
     return joined.drop("_at", "_key", "_second")
 
 
+def _admit(window_seconds: int, limit: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Admitted requests per second, given those admitted in the window before."""
+
+    def fold(seconds: pd.DataFrame) -> pd.DataFrame:
+        ordered = seconds.sort_values("_sec")
+        live: deque[tuple[int, int]] = deque()
+        in_window, admitted = 0, []
+        for second, requests in zip(ordered["_sec"], ordered["requests"], strict=True):
+            while live and live[0][0] <= second - window_seconds:
+                in_window -= live.popleft()[1]
+            fit = min(requests, limit - in_window)
+            admitted.append(fit)
+            in_window += fit
+            live.append((second, fit))
+        return ordered.assign(admitted=admitted)
+
+    return fold
+
+
+def sliding_window_admitted(requests: DataFrame, key: str, window_seconds: int, limit: int,
+                            ts: str = "timestamp") -> DataFrame:
+    """Requests and admitted requests per key and second, where only admitted ones fill the window.
+
+    What is admitted depends on what was admitted before, so this is a fold in time
+    order. It runs on one row per key and second, whatever the number of requests, and
+    a pause as long as the window starts a new, independent run.
+    """
+    per_second = requests.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).groupBy(
+        key, epoch_seconds(F.col(ts)).alias("_sec")).agg(F.count(F.lit(1)).alias("requests"))
+    in_order = W.partitionBy(key).orderBy("_sec")
+    pause = F.col("_sec") - F.lag("_sec").over(in_order) >= window_seconds
+    runs = per_second.withColumn("_run", F.sum(F.when(pause, 1).otherwise(0)).over(in_order))
+    schema = T.StructType([*runs.schema.fields, T.StructField("admitted", T.LongType())])
+    folded = runs.groupBy(key, "_run").applyInPandas(_admit(window_seconds, limit), schema)
+    return folded.select(
+        key, from_epoch_seconds(F.col("_sec")).alias("second"), "requests", "admitted",
+        (F.col("requests") - F.col("admitted")).alias("rejected"))
+
+
 def current_rate(requests: DataFrame, key: str, as_of: Moment, window_seconds: int = 60,
                  ts: str = "timestamp") -> DataFrame:
     """Requests per key in the window that ends now, both end seconds counted; idle keys are absent."""

@@ -32,7 +32,7 @@ def status_code_counts(spark, sf_dir):
     return stats.status_counts(good(spark, sf_dir))
 
 
-@query("parse_access_logs", "L1-L7", f"with {ACCESS_LOGS_SQL} select {_SELECT} from access_logs")
+@query("parse_access_logs", "L1-L7 E1 E15", f"with {ACCESS_LOGS_SQL} select {_SELECT} from access_logs")
 def parse_access_logs(spark, sf_dir):
     return parsed_lines(spark, sf_dir).select(*_SCALARS)
 

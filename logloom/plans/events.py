@@ -438,3 +438,8 @@ def content_hash32(spark, sf_dir):
     union all select 'source', 12, count(*) filter (where length(source) > 12) from log_events""")
 def declared_widths(spark, sf_dir):
     return enrich.too_wide(log_events(spark, sf_dir), {"level": 4, "source": 12})
+
+
+@query("rounded_durations", "E16", "select event_id, round(value / 7, 3) as duration from events")
+def rounded_durations(spark, sf_dir):
+    return events(spark, sf_dir).select("event_id", F.round(F.col("value") / 7, 3).alias("duration"))

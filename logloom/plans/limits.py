@@ -105,6 +105,18 @@ def fixed_window_anchored_small(spark, sf_dir):
     return dedup.anchored_window_report(rows, "source", 3600, 3)
 
 
+@query("fixed_window_anchored_admitted", "T2", f"""
+    with recursive {_chain_sql(f"select {SOURCE_CASE} as source, ts from events", "source", "interval 3600 second")},
+    ranked as (select e.event_id as id, e.source, e.ts as "timestamp", chain.ts as window_start,
+        row_number() over (partition by e.source, chain.ts order by e.ts, e.event_id) as rn
+      from chain join (select event_id, {SOURCE_CASE} as source, ts from events) e
+        on e.source = chain.k and e.ts >= chain.ts and e.ts < chain.ts + interval 3600 second)
+    select id, source, "timestamp", window_start from ranked where rn <= 3""")
+def fixed_window_anchored_admitted(spark, sf_dir):
+    rows = log_events(spark, sf_dir).select("id", "source", "timestamp")
+    return dedup.anchored_window_admitted(rows, "source", 3600, 3)
+
+
 _SLIDING_SQL = f"""with per_second as (select {SOURCE_CASE} as source, date_trunc('second', ts) as second,
         count(*) as requests from events group by 1, 2),
     summed as (select *, cast(sum(requests) over (partition by source order by second
@@ -125,6 +137,24 @@ def sliding_window_requests(spark, sf_dir):
     return rolling.sliding_window_requests(rows, "source", 3600, 4)
 
 
+@query("sliding_window_admitted", "T3", f"""with recursive
+    per_second as (select {SOURCE_CASE} as source, cast(floor(epoch(ts)) as bigint) as sec, count(*) as requests
+      from events group by 1, 2),
+    numbered as (select *, row_number() over (partition by source order by sec) as i from per_second),
+    fold as (
+      select source, i, sec, requests, least(requests, 4) as admitted, [{{'s': sec, 'n': least(requests, 4)}}] as live
+        from numbered where i = 1
+      union all
+      select source, i, sec, requests, fit, list_append(kept, {{'s': sec, 'n': fit}}) from (
+        select *, least(requests, 4 - coalesce(list_sum(list_transform(kept, lambda x: x.n)), 0))::bigint as fit from (
+          select n.source, n.i, n.sec, n.requests, list_filter(f.live, lambda x: x.s > n.sec - 3600) as kept
+          from fold f join numbered n on n.source = f.source and n.i = f.i + 1)))
+    select source, make_timestamp(sec * 1000000) as second, requests, admitted, requests - admitted as rejected
+    from fold""")
+def sliding_window_admitted(spark, sf_dir):
+    return rolling.sliding_window_admitted(log_events(spark, sf_dir), "source", 3600, 4)
+
+
 @query("current_rate", "T3", f"""
     select {SOURCE_CASE} as source, count(*) as in_window from events
     where ts >= timestamp '{AS_OF}' - interval 7200 second and ts < timestamp '{AS_OF}' + interval 1 second group by 1""")
@@ -132,7 +162,7 @@ def current_rate(spark, sf_dir):
     return rolling.current_rate(log_events(spark, sf_dir), "source", AS_OF, 7200)
 
 
-@query("period_limit", "T4", """
+@query("period_limit", "T4 E6", """
     with counted as (select make_timestamp(cast(floor(epoch(ts) / 600) as bigint) * 600000000) as period_start,
       count(*) as requests from events group by 1)
     select *, requests > 3 as limited from counted""")

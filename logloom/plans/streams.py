@@ -72,7 +72,7 @@ def stream_upsert(spark, sf_dir):
     rows = _events_stream(spark, sf_dir).select(
         F.col("user_id").alias("id"), F.col("event_id").alias("version"), "event_type", F.col("ts").alias("timestamp"))
     pipelines.upsert_stream(rows, f"{base}/warm", f"{base}/checkpoint", version="version").awaitTermination()
-    return spark.read.parquet(f"{base}/warm").drop("date")
+    return spark.read.parquet(f"{base}/warm").drop("date", "epoch_s")
 
 
 @query("stream_dedup", "T1 J3 T6 T7", _dedup_sql(USER_CONTENT))

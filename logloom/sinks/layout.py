@@ -42,9 +42,13 @@ def write_partitions(df: DataFrame, path: str, columns: list[str], fmt: str = "p
          .partitionBy(*columns, "batch").format(fmt).save(path))
 
 
-def replace_partitions(df: DataFrame, path: str, columns: list[str], fmt: str = "parquet", **options: str) -> None:
+def replace_partitions(df: DataFrame, path: str, columns: list[str], fmt: str = "parquet",
+                       within: list[str] | None = None, **options: str) -> None:
     """Overwrite exactly the partitions that occur in ``df``."""
-    (balanced(df, *columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    rows = balanced(df, *columns)
+    if within:
+        rows = rows.sortWithinPartitions(*columns, *within)
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .options(**options).partitionBy(*columns).format(fmt).save(path))
 
 

@@ -6,7 +6,8 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.time import Moment, as_datetime, moment
+from ..functions.time import Moment, as_datetime, epoch_seconds, moment
+from ..operators.filters import EPOCH
 from ..operators.latest import upsert
 from ..session import settle
 from .layout import (day_folder, drop_partitions, on_days, replace_partitions, table_exists, with_day,
@@ -17,17 +18,21 @@ RETENTION_DAYS = 30
 LOOKUP_COLUMNS = ["id", "trace_id"]
 
 
-def bloom_filters(columns: list[str]) -> dict[str, str]:
-    """Write options that let a lookup by one of the columns skip row groups without its value."""
-    return {f"parquet.bloom.filter.enabled#{name}": "true" for name in columns}
+def _lookup_options(events: DataFrame) -> dict[str, str]:
+    """Write options that let a lookup by id skip row groups without the value."""
+    return {f"parquet.bloom.filter.enabled#{name}": "true" for name in LOOKUP_COLUMNS if name in events.columns}
+
+
+def with_bounds(events: DataFrame) -> DataFrame:
+    """Add the columns that time filters use to skip partitions and row groups."""
+    return with_day(events).withColumn(EPOCH, epoch_seconds(F.col("timestamp")))
 
 
 def append_events(events: DataFrame, path: str, batch_id: int | None = None,
                   within: list[str] | None = None) -> None:
     """Append to the day partitions, sorted by time inside files, with filters for lookups by id."""
-    looked_up = [name for name in LOOKUP_COLUMNS if name in events.columns]
-    write_partitions(with_day(events), path, ["date"], batch_id=batch_id, within=within or ["timestamp"],
-                     **bloom_filters(looked_up))
+    write_partitions(with_bounds(events), path, ["date"], batch_id=batch_id, within=within or ["timestamp"],
+                     **_lookup_options(events))
 
 
 def append_metadata(events: DataFrame, path: str, batch_id: int | None = None, key: str = "id") -> None:
@@ -46,9 +51,10 @@ def upsert_events(batch: DataFrame, path: str, key: str = "id", version: str = "
     ``days_can_change=False`` saves the search for old days.
     """
     spark = batch.sparkSession
-    incoming = settle(with_day(batch))
+    incoming = settle(with_bounds(batch))
     if not table_exists(spark, path):
-        replace_partitions(upsert(incoming.limit(0), incoming, key, version), path, ["date"])
+        first = upsert(incoming.limit(0), incoming, key, version)
+        replace_partitions(first, path, ["date"], within=["timestamp"], **_lookup_options(first))
         return
     stored = spark.read.parquet(path)
     touched = incoming.select("date")
@@ -57,7 +63,7 @@ def upsert_events(batch: DataFrame, path: str, key: str = "id", version: str = "
     days = [row["date"] for row in touched.distinct().collect()]  # calendar days, not rows
     merged = settle(upsert(stored.filter(on_days(days)), incoming, key, version))
     left = {row["date"] for row in merged.select("date").distinct().collect()}
-    replace_partitions(merged, path, ["date"])
+    replace_partitions(merged, path, ["date"], within=["timestamp"], **_lookup_options(merged))
     drop_partitions(spark, path, [day_folder(day) for day in days if day not in left])
 
 
@@ -92,6 +98,6 @@ def apply_retention(spark: SparkSession, path: str, as_of: Moment, days: int = R
     emptied = last_day.select(columns).distinct().join(kept.select(columns).distinct(), columns, "left_anti")
     gone += ["/".join(f"{c}={row[c]}" for c in columns) for row in emptied.collect()]
     if not kept.isEmpty():
-        replace_partitions(kept, path, columns)
+        replace_partitions(kept, path, columns, within=["timestamp"], **_lookup_options(kept))
     drop_partitions(spark, path, gone)
     return deleted

@@ -96,3 +96,5 @@ def test_anchored_windows_against_brute_force(spark, limit):
     found = {(r["content_hash"], int((r["window_start"] - START).total_seconds())):
              (r["requests"], r["allowed"], r["rejected"]) for r in report}
     assert found == {k: (n, min(n, 4), max(n - 4, 0)) for k, n in counts.items()}
+    admitted = dedup.anchored_window_admitted(frame(spark, data), "content_hash", 60, 4, list_limit=limit)
+    assert admitted.count() == sum(min(n, 4) for n in counts.values())

@@ -224,3 +224,17 @@ def test_sliding_window_crosses_spans(spark):
         for row in got:
             expected = sum(row["s"] - window < base + o <= row["s"] for o in offsets)
             assert (row["in_window"], row["limited"]) == (expected, expected > 2)
+
+
+def test_only_admitted_requests_fill_the_window(spark):
+    offsets = sorted([0, 0, 0, 5, 9, 10, 11, 11, 14, 30, 45, 45, 45, 45, 46, 60])
+    df = spark.createDataFrame([("k", o) for o in offsets] + [(None, 1)], "k string, o int").selectExpr(
+        "k", "timestamp_ntz'2024-05-01 10:59:50' + o * interval '1' second as timestamp")
+    admitted, found = [], {}
+    for o in offsets:
+        fits = sum(o - 10 < a <= o for a in admitted) < 3
+        admitted += [o] * fits
+        found[o] = found.get(o, 0) + fits
+    rows = rolling.sliding_window_admitted(df, "k", 10, 3).orderBy("second").collect()
+    assert [r["admitted"] for r in rows] == list(found.values())
+    assert sum(r["requests"] for r in rows) == len(offsets)

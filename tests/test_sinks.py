@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logloom.schema import ORG_EVENT_WIRE, TRACED_EVENT_WIRE
+from logloom.operators import filters
 from logloom.sinks import layout, letters, rotation, tiers, warm
 from logloom.sources import ingest, tables, topics
 
@@ -192,3 +193,41 @@ def test_topic_records_and_options(log):
 
 def test_layout_helpers():
     assert layout.day_folder(None) == "date=__HIVE_DEFAULT_PARTITION__"
+
+
+def scan_metric(df, name):
+    df.collect()
+
+    def find(node):
+        if node.nodeName().startswith("Scan"):
+            return node
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return find(node.executedPlan())
+        children = node.children()
+        return next(filter(None, (find(children.apply(i)) for i in range(children.size()))), None)
+
+    return find(df._jdf.queryExecution().executedPlan()).metrics().apply(name).value()
+
+
+def test_time_bounds_and_lookups_skip_what_they_can(spark, tmp_path):
+    path = str(tmp_path / "warm")
+    rows = spark.range(40_000).selectExpr(
+        "id", "timestamp_ntz'2024-05-01 00:00:00' + id * interval '5' second as timestamp",
+        "md5(cast(id as string)) as trace_id", "'INFO' as level")
+    saved = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.block.size", "60000")
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.page.size", "4000")
+    try:
+        warm.append_events(rows, path)
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.block.size")
+        spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.page.size")
+        spark.conf.set("spark.sql.shuffle.partitions", saved)
+    table = spark.read.parquet(path)
+    hour = filters.select_events(table, start="2024-05-02 10:00:00", end="2024-05-02 10:59:59")
+    assert hour.count() == 720
+    assert scan_metric(hour, "numFiles") == 1
+    assert scan_metric(hour, "numOutputRows") < 10_000  # of 17,280 of that day
+    found = table.filter(F.col("trace_id") == "a1d0c6e83f027327d8461063f4ac58a6")  # md5 of 42
+    assert [r["id"] for r in found.collect()] == [42]
+    assert scan_metric(found, "numOutputRows") < 20_000
