@@ -3,7 +3,7 @@ and a skewed partition of a sort-merge join is split."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.time import Moment, before, moment
 from .latest import newest
@@ -21,13 +21,17 @@ def explode_metadata(events: DataFrame, key: str = "id") -> DataFrame:
 def assemble_metadata(events: DataFrame, metadata: DataFrame, key: str = "id") -> DataFrame:
     """Child rows back into a map column; events without child rows get null.
 
-    Copies of a child row are merged first, so the list that becomes the map holds
-    each key once.
+    Copies of a child row are merged before the shuffle; of different values of one key
+    the greatest stays. The map column and the join share one shuffle by id.
     """
-    unique = metadata.groupBy("log_event_id", "key").agg(F.max("value").alias("value"))
-    maps = unique.groupBy("log_event_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("metadata"))
-    return events.join(maps.withColumnRenamed("log_event_id", key), key, "left")
+    sets = metadata.groupBy("log_event_id").agg(F.collect_set(F.struct("key", "value")).alias("_pairs"))
+
+    def greatest(name: Column) -> Column:
+        return F.array_max(F.filter("_pairs", lambda pair: pair["key"] == name))
+
+    entries = F.transform(F.array_distinct(F.col("_pairs.key")), greatest)
+    maps = sets.select(F.col("log_event_id").alias(key), F.map_from_entries(entries).alias("metadata"))
+    return events.join(maps, key, "left")
 
 
 def cascade(metadata: DataFrame, kept_events: DataFrame, key: str = "id") -> DataFrame:

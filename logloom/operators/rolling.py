@@ -81,16 +81,22 @@ def _trailing_sum(per_second: DataFrame, keys: list[str], second: str, value: st
     """Sum over the last ``window_seconds`` of a series with at most one row per key and second.
 
     The series is cut into spans; the seconds a later span still looks at are copied
-    into it. A group then holds at most span + window rows, however many events a key has.
+    into it. A group then holds at most span + window seconds, however many events a
+    key has. Inside a span each value enters at its second and leaves one window later,
+    so the trailing sum is a running total and no frame is summed anew.
     """
     span = max(_SPAN_SECONDS, window_seconds)
     home = F.floor(F.col(second) / span).cast("bigint")
     at_end = F.pmod(F.col(second), F.lit(span)) > span - window_seconds
     spans = per_second.withColumn("_home", home).withColumn(
         "_span", F.explode(F.when(at_end, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))))
-    frame = W.partitionBy(*keys, "_span").orderBy(second).rangeBetween(-(window_seconds - 1), 0)
-    summed = spans.withColumn(out, F.sum(value).over(frame))
-    return summed.filter(F.col("_span") == F.col("_home")).drop("_home", "_span")
+    enters = F.struct(F.col(second).alias("_at"), F.col(value).alias("_change"), F.lit(True).alias("_own"))
+    leaves = F.struct((F.col(second) + window_seconds).alias("_at"), (-F.col(value)).alias("_change"),
+                      F.lit(False).alias("_own"))
+    changes = spans.withColumn("_c", F.explode(F.array(enters, leaves))).select("*", "_c.*")
+    running = W.partitionBy(*keys, "_span").orderBy("_at").rangeBetween(W.unboundedPreceding, W.currentRow)
+    summed = changes.withColumn(out, F.sum("_change").over(running))
+    return summed.filter(F.col("_own") & (F.col("_span") == F.col("_home"))).select(*per_second.columns, out)
 
 
 def sliding_window_report(requests: DataFrame, key: str, window_seconds: int, limit: int,

@@ -149,7 +149,8 @@ def test_metadata_there_and_back(spark, rows):
         [(1, {"a": "x", "b": None}), (2, {}), (3, None)], "id int, metadata map<string,string>")
     children = joins.explode_metadata(events)
     assert rows(children) == [(1, "a", "x"), (1, "b", None)]
-    doubled = children.unionByName(children)
+    doubled = children.unionByName(children).unionByName(
+        spark.createDataFrame([(1, "a", "w"), (1, "a", None), (1, "b", None)], children.schema))
     whole = {r["id"]: r["metadata"] for r in joins.assemble_metadata(events.select("id"), doubled).collect()}
     assert whole == {1: {"a": "x", "b": None}, 2: None, 3: None}
     assert rows(joins.cascade(children, events.filter("id > 1"))) == []
