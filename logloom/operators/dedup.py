@@ -98,24 +98,27 @@ def chain_by_doubling(times: DataFrame, key: str, ts: str, ttl_seconds: int) ->
     return settle(members)
 
 
-def _split_busy(df: DataFrame, key: str, list_limit: int) -> tuple[DataFrame, DataFrame | None]:
-    busy = settle(busy_keys(df, key, list_limit))
+def _split_busy(df: DataFrame, key: str, list_limit: int) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+    """Rows of rare keys, rows of busy keys with a short number ``_kid`` for the key, and those numbers."""
+    busy = settle(busy_keys(df, key, list_limit).withColumn("_kid", F.monotonically_increasing_id()))
     if busy.isEmpty():
-        return df, None
-    return df.join(busy, key, "left_anti"), df.join(busy, key, "left_semi")
+        return df, None, busy
+    return df.join(busy, key, "left_anti"), df.join(busy, key), busy
 
 
 def chain_times(df: DataFrame, key: str, ts: str = "timestamp", ttl_seconds: int = REPEAT_SECONDS,
                 list_limit: int = LIST_LIMIT) -> DataFrame:
     """The kept times of every key as distinct (key, ts)."""
     usable = df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(key, ts)
-    few, many = _split_busy(usable, key, list_limit)
+    few, many, busy = _split_busy(usable, key, list_limit)
     lists = few.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(ts))).alias("_rows"))
     row_type = T.StructType([T.StructField(ts, T.TimestampNTZType())])
     kept = lists.select(key, F.explode(_fold(F.col("_rows"), ts, seconds(ttl_seconds), row_type)).alias("_row"))
     chains = kept.select(key, F.col(f"_row.{ts}").alias(ts))
     if many is not None:
-        chains = chains.unionByName(chain_by_doubling(settle(many.distinct()), key, ts, ttl_seconds))
+        times = settle(many.select("_kid", ts).distinct())
+        found = chain_by_doubling(times, "_kid", ts, ttl_seconds).join(busy, "_kid")
+        chains = chains.unionByName(found.select(key, ts))
     return chains
 
 
@@ -128,7 +131,7 @@ def drop_repeats(df: DataFrame, key: str = "content_hash", ts: str = "timestamp"
     """
     usable = F.col(key).isNotNull() & F.col(ts).isNotNull()
     unjudged = df.filter(~usable)
-    few, many = _split_busy(df.filter(usable), key, list_limit)
+    few, many, _ = _split_busy(df.filter(usable), key, list_limit)
 
     maps = [f.name for f in df.schema.fields if isinstance(f.dataType, T.MapType)]
     rest = [c for c in df.columns if c not in (key, ts, tie)]
@@ -141,9 +144,10 @@ def drop_repeats(df: DataFrame, key: str = "content_hash", ts: str = "timestamp"
     result = result.unionByName(unjudged)
 
     if many is not None:
-        chains = chain_by_doubling(settle(many.select(key, ts).distinct()), key, ts, ttl_seconds)
-        members = many.join(chains, [key, ts], "left_semi")
-        result = result.unionByName(latest_per_key(members, [key, ts], [F.col(tie).asc()]))
+        times = settle(many.select("_kid", ts).distinct())
+        members = many.join(chain_by_doubling(times, "_kid", ts, ttl_seconds), ["_kid", ts], "left_semi")
+        firsts = latest_per_key(members, ["_kid", ts], [F.col(tie).asc()])
+        result = result.unionByName(firsts.select(*df.columns))
     return result
 
 

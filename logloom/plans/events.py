@@ -298,7 +298,8 @@ def metadata_explode(spark, sf_dir):
       case when id % 10 <> 0 then json_extract_string(props, '$.k') end as k from log_events""")
 def metadata_assemble(spark, sf_dir):
     rows = with_metadata(spark, sf_dir)
-    children = joins.explode_metadata(rows.filter(F.col("id") % 10 != 0))
+    some = rows.withColumn("metadata", F.when(F.col("id") % 10 != 0, F.col("metadata")))  # one in ten has none
+    children = joins.explode_metadata(some)
     whole = joins.assemble_metadata(rows.select("id", "level"), children)
     return whole.select("id", "level", F.try_element_at("metadata", F.lit("user_id")).alias("user_id"),
                         F.try_element_at("metadata", F.lit("k")).alias("k"))

@@ -15,38 +15,39 @@ _EVENT = ["id", "level", "message", "timestamp"]
 
 
 def _versions(spark, sf_dir):
-    """A stored table and a later batch that redelivers some events, with a few sent twice."""
+    """A stored table, and a batch that brings every event twice more, some newer and some older than stored."""
     rows = log_events(spark, sf_dir).select("id", "level", "timestamp")
-    stored = rows.filter(F.col("id") % 3 != 0).withColumn("processed_at", F.col("timestamp"))
-    again = rows.filter(F.col("id") % 2 == 0).select(
-        "id", F.lower("level").alias("level"), "timestamp",
-        (F.col("timestamp") + F.expr("interval 1 day")).alias("processed_at"))
-    twice = again.filter(F.col("id") % 10 == 0).withColumns({
-        "level": F.concat("level", F.lit("!")), "processed_at": F.col("processed_at") + F.expr("interval 1 hour")})
+
+    def moved(every: int, hours: int):
+        step = F.expr(f"interval '{hours}' hour")
+        return F.when(F.col("id") % every == 0, F.col("timestamp") + step).otherwise(F.col("timestamp") - step)
+
+    stored = rows.withColumn("processed_at", F.col("timestamp"))
+    again = rows.select("id", F.lower("level").alias("level"), "timestamp", moved(2, 24).alias("processed_at"))
+    twice = rows.select(
+        "id", F.concat(F.lower("level"), F.lit("!")).alias("level"), "timestamp", moved(10, 25).alias("processed_at"))
     return stored, again.unionByName(twice)
 
 
-@query("upsert_latest", "K7 W1", f"""with {LOG_EVENTS_SQL},
+_UPSERT_SQL = f"""with {LOG_EVENTS_SQL},
     written as (
-      select id, level, "timestamp", "timestamp" as processed_at from log_events where id % 3 <> 0
-      union all select id, lower(level), "timestamp", "timestamp" + interval 1 day from log_events where id % 2 = 0
-      union all select id, lower(level) || '!', "timestamp", "timestamp" + interval 25 hour from log_events
-        where id % 10 = 0),
+      select id, level, "timestamp", "timestamp" as processed_at from log_events
+      union all select id, lower(level), "timestamp",
+        case when id % 2 = 0 then "timestamp" + interval 1 day else "timestamp" - interval 1 day end from log_events
+      union all select id, lower(level) || '!', "timestamp",
+        case when id % 10 = 0 then "timestamp" + interval 25 hour else "timestamp" - interval 25 hour end
+        from log_events),
     ranked as (select *, row_number() over (partition by id order by processed_at desc) as rn from written)
-    select id, level, "timestamp", processed_at from ranked where rn = 1""")
+    select id, level, "timestamp", processed_at from ranked where rn = 1"""
+
+
+@query("upsert_latest", "K7 W1", _UPSERT_SQL)
 def upsert_latest(spark, sf_dir):
     stored, batch = _versions(spark, sf_dir)
     return upsert(stored, batch)
 
 
-@query("upsert_twice", "K7 T6", f"""with {LOG_EVENTS_SQL},
-    written as (
-      select id, level, "timestamp", "timestamp" as processed_at from log_events where id % 3 <> 0
-      union all select id, lower(level), "timestamp", "timestamp" + interval 1 day from log_events where id % 2 = 0
-      union all select id, lower(level) || '!', "timestamp", "timestamp" + interval 25 hour from log_events
-        where id % 10 = 0),
-    ranked as (select *, row_number() over (partition by id order by processed_at desc) as rn from written)
-    select id, level, "timestamp", processed_at from ranked where rn = 1""")
+@query("upsert_twice", "K7 T6", _UPSERT_SQL)
 def upsert_twice(spark, sf_dir):
     stored, batch = _versions(spark, sf_dir)
     return upsert(upsert(stored, batch), batch)

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SHARED_DIRS: dict[str, str] = {}
-_SETTLED: list[str] = []
+_SETTLED: ContextVar[list[str]] = ContextVar("settled", default=[])  # noqa: B039  (one list per process)
 
 
 def build_session(app_name: str = "logloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -64,12 +67,24 @@ def settle(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/logloom-settled/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _SETTLED.append(path)
+    _SETTLED.get().append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def forget_settled(spark: SparkSession) -> None:
-    """Delete the tables this process has settled, once no result depends on them any more."""
-    while _SETTLED:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_SETTLED.pop())
+    """Delete the tables settled so far, once no result depends on them any more."""
+    paths = _SETTLED.get()
+    while paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(paths.pop())
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def settled_here(spark: SparkSession) -> Iterator[None]:
+    """For work that ends with a write: what it settles is deleted afterwards."""
+    token = _SETTLED.set([])
+    try:
+        yield
+    finally:
+        forget_settled(spark)
+        _SETTLED.reset(token)

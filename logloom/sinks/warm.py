@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.time import Moment, as_datetime, epoch_seconds, moment
 from ..operators.filters import EPOCH
 from ..operators.latest import upsert
-from ..session import settle
+from ..session import settle, settled_here
 from .layout import (day_folder, drop_partitions, on_days, replace_partitions, table_exists, with_day,
                      write_partitions)
 
@@ -51,20 +51,24 @@ def upsert_events(batch: DataFrame, path: str, key: str = "id", version: str = "
     ``days_can_change=False`` saves the search for old days.
     """
     spark = batch.sparkSession
-    incoming = settle(with_bounds(batch))
-    if not table_exists(spark, path):
-        first = upsert(incoming.limit(0), incoming, key, version)
-        replace_partitions(first, path, ["date"], within=["timestamp"], **_lookup_options(first))
-        return
-    stored = spark.read.parquet(path)
-    touched = incoming.select("date")
-    if days_can_change:
-        touched = touched.unionByName(stored.join(incoming.select(key), key, "left_semi").select("date"))
-    days = [row["date"] for row in touched.distinct().collect()]  # calendar days, not rows
-    merged = settle(upsert(stored.filter(on_days(days)), incoming, key, version))
-    left = {row["date"] for row in merged.select("date").distinct().collect()}
-    replace_partitions(merged, path, ["date"], within=["timestamp"], **_lookup_options(merged))
-    drop_partitions(spark, path, [day_folder(day) for day in days if day not in left])
+    with settled_here(spark):
+        incoming = settle(with_bounds(batch))
+        if not table_exists(spark, path):
+            _replace_days(upsert(incoming.limit(0), incoming, key, version), path)
+            return
+        stored = spark.read.parquet(path)
+        touched = incoming.select("date")
+        if days_can_change:
+            touched = touched.unionByName(stored.join(incoming.select(key), key, "left_semi").select("date"))
+        days = [row["date"] for row in touched.distinct().collect()]  # calendar days, not rows
+        merged = settle(upsert(stored.filter(on_days(days)), incoming, key, version))
+        left = {row["date"] for row in merged.select("date").distinct().collect()}
+        _replace_days(merged, path)
+        drop_partitions(spark, path, [day_folder(day) for day in days if day not in left])
+
+
+def _replace_days(events: DataFrame, path: str, columns: list[str] | None = None) -> None:
+    replace_partitions(events, path, columns or ["date"], within=["timestamp"], **_lookup_options(events))
 
 
 def expired(events: DataFrame, as_of: Moment, days: int = RETENTION_DAYS, ts: str = "timestamp") -> DataFrame:
@@ -94,10 +98,11 @@ def apply_retention(spark: SparkSession, path: str, as_of: Moment, days: int = R
     # A day holds one folder per batch if it was written in batches; each is replaced or goes.
     columns = [c for c in ("date", "batch") if c in stored.columns]
     last_day = stored.filter(F.col("date") == F.lit(limit.date()))
-    kept = settle(retained(last_day, as_of, days))
-    emptied = last_day.select(columns).distinct().join(kept.select(columns).distinct(), columns, "left_anti")
-    gone += ["/".join(f"{c}={row[c]}" for c in columns) for row in emptied.collect()]
-    if not kept.isEmpty():
-        replace_partitions(kept, path, columns, within=["timestamp"], **_lookup_options(kept))
+    with settled_here(spark):
+        kept = settle(retained(last_day, as_of, days))
+        emptied = last_day.select(columns).distinct().join(kept.select(columns).distinct(), columns, "left_anti")
+        gone += ["/".join(f"{c}={row[c]}" for c in columns) for row in emptied.collect()]
+        if not kept.isEmpty():
+            _replace_days(kept, path, columns)
     drop_partitions(spark, path, gone)
     return deleted

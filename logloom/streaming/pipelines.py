@@ -16,10 +16,9 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from ..functions.time import Moment
 from ..operators.dedup import REPEAT_SECONDS, drop_seen, remember
 from ..operators.parse import dead_letters, parse_access_lines, parsed_only
-from ..session import settle
-from ..sinks.layout import table_exists, write_partitions
+from ..session import settle, settled_here
+from ..sinks.layout import table_exists, with_day, write_partitions
 from ..sinks.letters import append_letters
-from ..sinks.layout import with_day
 from ..sinks.tiers import store_batch
 from ..sinks.warm import upsert_events
 from ..sources.ingest import ingest
@@ -99,11 +98,12 @@ def dedup_stream(events: DataFrame, base: str, checkpoint: str, key: str = "cont
         spark = batch.sparkSession
         schema = T.StructType([batch.schema[key], batch.schema[ts]])
         seen = _seen_before(spark, f"{base}/seen", batch_id, schema)
-        kept = settle(drop_seen(batch, seen, key, ts, tie, ttl_seconds))
-        write_partitions(with_day(kept, ts), f"{base}/events", ["date"], batch_id=batch_id)
-        newest = batch.agg(F.max(ts).alias("t")).first()["t"]
-        left = remember(seen, kept, newest, key, ts, ttl_seconds) if newest is not None else seen
-        left.write.mode("overwrite").parquet(f"{base}/seen/batch={batch_id}")
+        with settled_here(spark):
+            kept = settle(drop_seen(batch, seen, key, ts, tie, ttl_seconds))
+            write_partitions(with_day(kept, ts), f"{base}/events", ["date"], batch_id=batch_id)
+            newest = batch.agg(F.max(ts).alias("t")).first()["t"]
+            left = remember(seen, kept, newest, key, ts, ttl_seconds) if newest is not None else seen
+            left.write.mode("overwrite").parquet(f"{base}/seen/batch={batch_id}")
 
     return _each_batch(events, handle, checkpoint, every).start()
 
