@@ -9,7 +9,7 @@ from ..functions.time import Moment, before, moment
 from ..operators.filters import cold_condition, cold_eligible
 from ..operators.joins import HOT_HOURS, hot_view
 from ..operators.latest import newest
-from .layout import with_day, write_partitions
+from .layout import day_folder, drop_partitions, with_day, write_partitions
 from .warm import append_events
 
 
@@ -32,6 +32,13 @@ def read_hot(spark: SparkSession, path: str, as_of: Moment) -> DataFrame:
     return newest(stored, ["trace_id"], tie="batch").select("trace_id", "timestamp", "document")
 
 
+def expire_hot(spark: SparkSession, path: str, as_of: Moment) -> None:
+    """Drop the days of the hot tier that have outlived their time as a whole."""
+    oldest = F.lit(before(as_of, hours=HOT_HOURS).date())
+    days = spark.read.parquet(path).filter(F.col("date") < oldest).select("date").distinct()
+    drop_partitions(spark, path, [day_folder(row["date"]) for row in days.collect()])
+
+
 def cold_rows(events: DataFrame, as_of: Moment, ts: str = "timestamp") -> DataFrame:
     """Cold events with the partition they go to and the name of that partition as a file."""
     cold = cold_eligible(events, as_of)

@@ -17,7 +17,7 @@ from ..functions.time import Moment
 from ..operators.dedup import REPEAT_SECONDS, drop_seen, remember
 from ..operators.parse import dead_letters, parse_access_lines, parsed_only
 from ..session import settle, settled_here
-from ..sinks.layout import table_exists, with_day, write_partitions
+from ..sinks.layout import drop_partitions, table_exists, with_day, write_partitions
 from ..sinks.letters import append_letters
 from ..sinks.tiers import store_batch
 from ..sinks.warm import upsert_events
@@ -104,6 +104,7 @@ def dedup_stream(events: DataFrame, base: str, checkpoint: str, key: str = "cont
             newest = batch.agg(F.max(ts).alias("t")).first()["t"]
             left = remember(seen, kept, newest, key, ts, ttl_seconds) if newest is not None else seen
             left.write.mode("overwrite").parquet(f"{base}/seen/batch={batch_id}")
+            drop_partitions(spark, f"{base}/seen", [f"batch={batch_id - 2}"])  # a replay needs the last version only
 
     return _each_batch(events, handle, checkpoint, every).start()
 

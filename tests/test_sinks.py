@@ -96,14 +96,17 @@ def test_tiers(spark, log, tmp_path):
     newer = events.filter("id = 5").withColumn("message", F.lit("newest"))
     tiers.store_batch(newer, base, AS_OF, 1)
     assert spark.read.parquet(f"{base}/warm").count() == 7
-    hot = [json.loads(r["document"]) for r in tiers.read_hot(spark, f"{base}/hot", AS_OF).collect()]
-    assert [(d["trace_id"], d["message"], d["metadata"]) for d in hot] == [("c", "newest", {"k": "v"})]
-    assert tiers.read_hot(spark, f"{base}/hot", "2024-05-12 00:00:00").isEmpty()
     names = sorted(os.path.relpath(p, f"{base}/cold").rsplit("/", 2)[0]
                    for p in glob.glob(f"{base}/cold/**/*.json", recursive=True))
     assert names == ["level=error/date=2024-05-01", "level=info/date=2024-05-02", "level=warn/date=2024-05-02"]
-
-
+    hot = [json.loads(r["document"]) for r in tiers.read_hot(spark, f"{base}/hot", AS_OF).collect()]
+    assert [(d["trace_id"], d["message"], d["metadata"]) for d in hot] == [("c", "newest", {"k": "v"})]
+    assert tiers.read_hot(spark, f"{base}/hot", "2024-05-12 00:00:00").isEmpty()
+    tiers.expire_hot(spark, f"{base}/hot", AS_OF)
+    assert os.path.exists(f"{base}/hot/date=2024-05-09")
+    tiers.store_batch(events.withColumn("timestamp", F.lit("2024-05-11 23:00:00").cast("timestamp_ntz")), base, "2024-05-12 00:00:00", 2)
+    tiers.expire_hot(spark, f"{base}/hot", "2024-05-12 00:00:00")
+    assert sorted(n for n in os.listdir(f"{base}/hot") if n.startswith("date")) == ["date=2024-05-11"]
 def test_cold_names(log):
     rows = tiers.cold_rows(log, AS_OF).select("id", "file_name").collect()
     assert {r["id"]: r["file_name"] for r in rows} == {
