@@ -38,10 +38,10 @@ def busy_keys(df: DataFrame, key: str, limit: int) -> DataFrame:
     return counts.filter(F.col("_n") > limit).select(key)
 
 
-def _fold(rows: Column, ts: str, ttl: Column, row_type: T.DataType) -> Column:
+def _fold(rows: Column, ts: str, ttl: Column, row_type: T.StructType) -> Column:
     """Chain members of an array of rows sorted by time."""
     start = F.struct(
-        F.lit(None).cast(T.TimestampNTZType()).alias("last"),
+        F.lit(None).cast(row_type[ts].dataType).alias("last"),
         F.array().cast(T.ArrayType(row_type)).alias("kept"))
 
     def step(state: Column, row: Column) -> Column:
@@ -112,7 +112,7 @@ def chain_times(df: DataFrame, key: str, ts: str = "timestamp", ttl_seconds: int
     usable = df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(key, ts)
     few, many, busy = _split_busy(usable, key, list_limit)
     lists = few.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(ts))).alias("_rows"))
-    row_type = T.StructType([T.StructField(ts, T.TimestampNTZType())])
+    row_type = T.StructType([df.schema[ts]])
     kept = lists.select(key, F.explode(_fold(F.col("_rows"), ts, seconds(ttl_seconds), row_type)).alias("_row"))
     chains = kept.select(key, F.col(f"_row.{ts}").alias(ts))
     if many is not None:

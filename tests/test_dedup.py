@@ -28,8 +28,9 @@ def kept_by_hand(data, ttl):
 
 def test_life_time_runs_from_the_kept_row(spark):
     df = frame(spark, [(n, "a", m * 60) for n, m in enumerate([0, 20, 40, 45, 71])])
-    for limit in (100, 0):
-        found = dedup.drop_repeats(df, list_limit=limit)
+    zoned = df.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    for rows, limit in ((df, 100), (df, 0), (zoned, 100), (zoned, 0)):
+        found = dedup.drop_repeats(rows, list_limit=limit)
         assert sorted(r["id"] for r in found.collect()) == [0, 2, 4]
 
 
