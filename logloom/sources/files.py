@@ -64,6 +64,12 @@ def _offsets_in_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             [*[batch.column(n) for n in kept], pa.array(position, pa.int64())], [*kept, "in_block"])
 
 
+def _never_split(spark: SparkSession) -> int:
+    """Files up to this size are always read in one piece."""
+    conf = spark._jsparkSession.sessionState().conf()
+    return min(conf.filesMaxPartitionBytes(), conf.filesOpenCostInBytes())
+
+
 def read_placed_lines(spark: SparkSession, where: str | list[str], pattern: str = LOG_PATTERN,
                       modified_after: Moment | None = None) -> DataFrame:
     """Lines with ``file_offset``, the byte at which each starts, and the size of their file.
@@ -85,7 +91,10 @@ def read_placed_lines(spark: SparkSession, where: str | list[str], pattern: str
         F.col("value").alias("content"),
         F.octet_length("value").cast("bigint").alias("byte_length"),
     )
-    bytes_per_block = blocks.groupBy("file_path", "block_start").agg(F.sum(F.col("byte_length") + 1).alias("_bytes"))
+    # Only files that may be split need the sums; the others are skipped by their listing entry.
+    split_files = blocks.filter(F.col("file_size") > _never_split(spark))
+    bytes_per_block = split_files.groupBy("file_path", "block_start").agg(
+        F.sum(F.col("byte_length") + 1).alias("_bytes"))
     earlier = W.partitionBy("file_path").orderBy("block_start").rowsBetween(W.unboundedPreceding, -1)
     starts = bytes_per_block.select(
         F.col("file_path").alias("_path"), F.col("block_start").alias("_start"),
@@ -95,7 +104,8 @@ def read_placed_lines(spark: SparkSession, where: str | list[str], pattern: str
     joined = placed.join(
         starts, (placed["file_path"] == starts["_path"]) & (placed["block_start"] == starts["_start"]), "left")
     # Both scans must have cut the files alike; if not, stop instead of losing lines.
-    start = F.coalesce(F.col("_before"), F.raise_error(F.lit("file splits changed between two scans; run again")))
+    start = F.when(F.col("block_start") == 0, F.lit(0)).otherwise(F.coalesce(
+        F.col("_before"), F.raise_error(F.lit("file splits changed between two scans; run again"))))
     lines = joined.select(
         "file_path", _without_return(F.col("content")).alias("content"),
         (start + F.col("in_block")).alias("file_offset"), "byte_length", "file_size", "modified")
