@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, run_merge, secrets
+from . import licenses, near_duplicates, run_merge, secrets
 
 Build = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Build] = {}
@@ -66,3 +66,8 @@ def op8_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", F.size("phrases").cast("bigint").alias("n_base"), F.array_min(words).alias("first_word"),
         F.array_max(words).alias("last_word"), labels(base).alias("base_labels"), labels(F.concat(base, more)).alias("labels"), "score")
+
+
+@query
+def op10_fast_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_classes(_table(spark, sf_dir, "documents"))
