@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, near_duplicates, run_merge, secrets
+from . import licenses, near_duplicates, packing, run_merge, secrets
 
 Build = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Build] = {}
@@ -57,6 +58,20 @@ def op6_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
 
 
+def tokenizer_definition(path: str | None = None) -> str:
+    """The text of a tokenizer file; by default of the public word-level one."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path("word_bpe_49k.json")
+    return Path(path).read_text(encoding="utf-8")
+
+
+@query
+def op7_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"), tokenizer_definition())
+
+
 @query
 def op8_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.find_licenses(_table(spark, sf_dir, "documents"))
