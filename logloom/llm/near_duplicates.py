@@ -163,3 +163,9 @@ def near_classes(docs: DataFrame) -> DataFrame:
     alone = rows.where("doc_id is null or n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("_found"))
     return linked.union(alone).select("doc_id", "n_shingles", F.col("_found").alias("component_id"),
                                       F.coalesce(F.col("doc_id") == F.col("_found"), F.lit(True)).alias("kept"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """``docs`` without the rows that :func:`near_classes` does not keep; all columns stay."""
+    dropped = near_classes(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)

@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversations, edit_match, licenses, near_duplicates, packing, run_merge, secrets
+from . import attention, conversations, edit_match, language_crf, licenses, near_duplicates, noisy_or, packing, run_merge, secrets
 
 Build = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Build] = {}
@@ -56,6 +56,12 @@ from escaped group by conv_id
 """
 
 
+@query
+def op3_chain_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return language_crf.languages(docs, language_crf.language_model(docs))
+
+
 @query
 def op4_run_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_merge.exact_groups(_table(spark, sf_dir, "documents"))
@@ -71,6 +77,14 @@ from texts
 """
 
 
+@query
+def op5_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = attention.quality(docs, attention.quality_model(docs, _table(spark, sf_dir, "labels")))
+    return found.select("doc_id", "held_out", "score", "predicted", F.size("attention").cast("bigint").alias("n_passages"),
+                        F.expr("array_position(attention, array_max(attention)) - 1").alias("top_passage"))
+
+
 def _joined(spans):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["rule"], s["start"], s["end"])), ",")
 
@@ -115,6 +129,14 @@ def op8_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_max(words).alias("last_word"), labels(base).alias("base_labels"), labels(F.concat(base, more)).alias("labels"), "score")
 
 
+@query
+def op9_noisy_or(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = noisy_or.toxicity(docs, noisy_or.toxicity_model(docs, _table(spark, sf_dir, "labels")))
+    places = F.array_join(F.transform("offending", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return found.select("doc_id", "held_out", "score", "predicted", F.size("offending").cast("bigint").alias("n_offending"), places.alias("offending"))
+
+
 @query
 def op10_fast_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_classes(_table(spark, sf_dir, "documents"))
