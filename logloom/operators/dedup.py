@@ -1,166 +1,55 @@
 """Repeats within a life time.
 
 The life time runs from the last *kept* row of a hash, not from the previous row: of
-rows at 0, 20 and 40 minutes with 30 minutes to live, 0 and 40 are kept. The kept rows
-of a hash therefore form a chain: the first row, then always the first row at least one
-life time after the last kept one.
-
-Two exact ways to find the chains:
-
-* a hash with few rows is folded over its sorted rows;
-* a hash with many rows is never gathered. Each of its times is linked to its successor
-  in the chain sense, and links are doubled (1, 2, 4, … steps) until the chain that
-  starts at the first row is complete. Every step is a join on (hash, time) pairs, which
-  are unique, so a hash that holds a third of all rows is spread over all tasks.
+rows at 0, 20 and 40 minutes with 30 minutes to live, 0 and 40 are kept. The kept times
+of a hash are a chain (:mod:`.chains`); of rows at one kept time the first by id, then by
+all other columns, is kept.
 """
 
 from __future__ import annotations
 
-import math
-from datetime import timedelta
-
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from ..functions.time import Moment, bucket, moment, seconds
-from ..session import settle
-from .frames import spread
+from .chains import BLOCK_ROWS, chain_times, micros
 from .latest import latest_per_key
 
 # Fixed value: how long a seen line is remembered.
 REPEAT_SECONDS = 30 * 60
-LIST_LIMIT = 10_000
-SETTLE_ROUNDS = 4
-
-
-def busy_keys(df: DataFrame, key: str, limit: int) -> DataFrame:
-    """Keys with more than ``limit`` rows: a count that is merged before the shuffle."""
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") > limit).select(key)
-
-
-def _fold(rows: Column, ts: str, ttl: Column, row_type: T.StructType) -> Column:
-    """Chain members of an array of rows sorted by time."""
-    start = F.struct(
-        F.lit(None).cast(row_type[ts].dataType).alias("last"),
-        F.array().cast(T.ArrayType(row_type)).alias("kept"))
 
-    def step(state: Column, row: Column) -> Column:
-        keep = state["last"].isNull() | (row[ts] >= state["last"] + ttl)
-        return F.when(
-            keep, F.struct(row[ts].alias("last"), F.concat(state["kept"], F.array(row)).alias("kept"))
-        ).otherwise(state)
 
-    return F.aggregate(rows, start, step, lambda state: state["kept"])
-
-
-def _successors(times: DataFrame, key: str, ts: str, ttl: Column) -> DataFrame:
-    """For each (key, time) the first time of the key at least one life time later.
-
-    Times and the moments they ask for are sorted together; the answer is the next time
-    in the same cut, or else the first time of the key in a later cut.
-    """
-    asked = times.select(key, (F.col(ts) + ttl).alias("_at"), F.lit(0).alias("_kind"), F.col(ts).alias("_from"))
-    known = times.select(key, F.col(ts).alias("_at"), F.lit(1).alias("_kind"), F.col(ts).alias("_from"))
-    placed = spread(asked.unionByName(known), [key], ["_at", "_kind", "_from"])
-    is_time = F.when(F.col("_kind") == 1, F.col("_at"))
-    following = W.partitionBy(key, "_part").orderBy(F.col("_place").desc()).rowsBetween(
-        W.unboundedPreceding, W.currentRow)
-    local = placed.withColumn("_next", F.min(is_time).over(following)).filter(F.col("_kind") == 0)
-    firsts = placed.groupBy(key, "_part").agg(F.min(is_time).alias("_first"))
-    later = W.partitionBy(key).orderBy(F.col("_part").desc()).rowsBetween(W.unboundedPreceding, -1)
-    ahead = firsts.select(key, "_part", F.min("_first").over(later).alias("_ahead"))
-    return local.join(ahead, [key, "_part"]).select(
-        F.col(key), F.col("_from").alias(ts), F.coalesce("_next", "_ahead").alias("_next"))
-
-
-def chain_by_doubling(times: DataFrame, key: str, ts: str, ttl_seconds: int) -> DataFrame:
-    """Chain members of every key as (key, ts), without gathering any key.
-
-    ``times`` holds distinct (key, ts). The number of rounds is the logarithm of the
-    longest possible chain.
-    """
-    spans = times.groupBy(key).agg(F.min(ts).alias("_min"), F.max(ts).alias("_max"))
-    widest = spans.agg(F.max(F.col("_max") - F.col("_min")).alias("w")).first()["w"] or timedelta(0)
-    longest = int(widest.total_seconds() // ttl_seconds) + 1
-    rounds = max(1, math.ceil(math.log2(longest + 1)))
-
-    links = settle(_successors(times, key, ts, seconds(ttl_seconds)).filter(F.col("_next").isNotNull()))
-    members = spans.select(key, F.col("_min").alias(ts))
-    for done in range(rounds):
-        # A member goes on as itself and, where it has a link, as the time the link leads to.
-        both = F.explode(F.array_compact(F.array(F.col(ts), F.col("_next"))))
-        members = members.join(links, [key, ts], "left").select(key, both.alias(ts))
-        if done % SETTLE_ROUNDS == SETTLE_ROUNDS - 1:
-            members = settle(members)
-        if done + 1 < rounds:
-            onward = links.select(key, F.col(ts).alias("_next"), F.col("_next").alias("_far"))
-            links = settle(links.join(onward, [key, "_next"]).select(key, ts, F.col("_far").alias("_next")))
-    return settle(members)
-
-
-def _split_busy(df: DataFrame, key: str, list_limit: int) -> tuple[DataFrame, DataFrame | None, DataFrame]:
-    """Rows of rare keys, rows of busy keys with a short number ``_kid`` for the key, and those numbers."""
-    busy = settle(busy_keys(df, key, list_limit).withColumn("_kid", F.monotonically_increasing_id()))
-    if busy.isEmpty():
-        return df, None, busy
-    return df.join(busy, key, "left_anti"), df.join(busy, key), busy
-
-
-def chain_times(df: DataFrame, key: str, ts: str = "timestamp", ttl_seconds: int = REPEAT_SECONDS,
-                list_limit: int = LIST_LIMIT) -> DataFrame:
-    """The kept times of every key as distinct (key, ts)."""
-    usable = df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(key, ts)
-    few, many, busy = _split_busy(usable, key, list_limit)
-    lists = few.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(ts))).alias("_rows"))
-    row_type = T.StructType([df.schema[ts]])
-    kept = lists.select(key, F.explode(_fold(F.col("_rows"), ts, seconds(ttl_seconds), row_type)).alias("_row"))
-    chains = kept.select(key, F.col(f"_row.{ts}").alias(ts))
-    if many is not None:
-        times = settle(many.select("_kid", ts).distinct())
-        found = chain_by_doubling(times, "_kid", ts, ttl_seconds).join(busy, "_kid")
-        chains = chains.unionByName(found.select(key, ts))
-    return chains
+def _whole_order(df: DataFrame, first: list[str]) -> list[Column]:
+    """All columns as sort keys, ``first`` ahead; maps by their sorted entries."""
+    rest = [c for c in df.columns if c not in first]
+    return [F.array_sort(F.map_entries(c)).asc() if isinstance(df.schema[c].dataType, T.MapType) else F.col(c).asc()
+            for c in [*first, *rest]]
 
 
 def drop_repeats(df: DataFrame, key: str = "content_hash", ts: str = "timestamp", tie: str = "id",
-                 ttl_seconds: int = REPEAT_SECONDS, list_limit: int = LIST_LIMIT) -> DataFrame:
+                 ttl_seconds: int = REPEAT_SECONDS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Rows that are no repeat of a kept row within its life time.
 
-    Rows without key or time cannot be judged and are kept. Counting the rows per key
-    reads the key column only; keys above ``list_limit`` rows take the join-based way.
+    Rows without key or time cannot be judged and are kept.
     """
-    usable = F.col(key).isNotNull() & F.col(ts).isNotNull()
-    unjudged = df.filter(~usable)
-    few, many, _ = _split_busy(df.filter(usable), key, list_limit)
-
-    maps = [f.name for f in df.schema.fields if isinstance(f.dataType, T.MapType)]
-    rest = [c for c in df.columns if c not in (key, ts, tie)]
-    carried = few.withColumns({m: F.map_entries(m) for m in maps})  # maps cannot be sorted, their entries can
-    row = F.struct(ts, tie, *rest)
-    row_type = carried.select(row.alias("r")).schema["r"].dataType
-    lists = carried.groupBy(key).agg(F.sort_array(F.collect_list(row)).alias("_rows"))
-    kept = lists.select(key, F.explode(_fold(F.col("_rows"), ts, seconds(ttl_seconds), row_type)).alias("_row"))
-    result = kept.select(key, "_row.*").withColumns({m: F.map_from_entries(m) for m in maps}).select(*df.columns)
-    result = result.unionByName(unjudged)
-
-    if many is not None:
-        times = settle(many.select("_kid", ts).distinct())
-        members = many.join(chain_by_doubling(times, "_kid", ts, ttl_seconds), ["_kid", ts], "left_semi")
-        firsts = latest_per_key(members, ["_kid", ts], [F.col(tie).asc()])
-        result = result.unionByName(firsts.select(*df.columns))
-    return result
+    judged = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    timed = df.filter(judged).withColumn("_at", micros(df, ts))
+    chain = chain_times(df.filter(judged), key, ts, ttl_seconds, block_rows)
+    members = timed.join(chain, [key, "_at"], "left_semi")
+    firsts = latest_per_key(members, [key, "_at"], _whole_order(df, [tie]))
+    return firsts.select(*df.columns).unionByName(df.filter(~judged))
 
 
 def drop_seen(batch: DataFrame, seen: DataFrame, key: str = "content_hash", ts: str = "timestamp",
-              tie: str = "id", ttl_seconds: int = REPEAT_SECONDS, list_limit: int = LIST_LIMIT) -> DataFrame:
+              tie: str = "id", ttl_seconds: int = REPEAT_SECONDS) -> DataFrame:
     """Rows of a batch that repeat neither a remembered row nor an earlier row of the batch.
 
-    ``seen`` holds one row per hash: (key, last kept time).
+    ``seen`` holds one row per hash: (key, last kept time). A row from before that time is
+    late, not a repeat: it is judged by the rows of its own batch.
     """
     last = seen.select(F.col(key), F.col(ts).alias("_last"))
-    fresh = batch.join(last, key, "left").filter(
-        F.col("_last").isNull() | F.col(ts).isNull() | (F.col(ts) >= F.col("_last") + seconds(ttl_seconds)))
-    return drop_repeats(fresh.drop("_last"), key, ts, tie, ttl_seconds, list_limit)
+    repeat = (F.col(ts) >= F.col("_last")) & (F.col(ts) < F.col("_last") + seconds(ttl_seconds))
+    fresh = batch.join(last, key, "left").filter(~F.coalesce(repeat, F.lit(False)))
+    return drop_repeats(fresh.drop("_last"), key, ts, tie, ttl_seconds)
 
 
 def remember(seen: DataFrame, kept: DataFrame, as_of: Moment, key: str = "content_hash",
@@ -170,6 +59,12 @@ def remember(seen: DataFrame, kept: DataFrame, as_of: Moment, key: str = "conten
     return both.groupBy(key).agg(F.max(ts).alias(ts)).filter(F.col(ts) + seconds(ttl_seconds) > moment(as_of))
 
 
+def _openings(requests: DataFrame, client: str, ts: str, window_seconds: int, block_rows: int) -> DataFrame:
+    """The first times of windows as distinct (client, ts)."""
+    timed = requests.withColumn("_at", micros(requests, ts)).select(client, ts, "_at").distinct()
+    return timed.join(chain_times(requests, client, ts, window_seconds, block_rows), [client, "_at"], "left_semi").select(client, ts)
+
+
 def _with_opening(requests: DataFrame, openings: DataFrame, client: str, ts: str, window_seconds: int) -> DataFrame:
     """Each request with the time its window opened.
 
@@ -186,13 +81,13 @@ def _with_opening(requests: DataFrame, openings: DataFrame, client: str, ts: str
 
 
 def anchored_window_report(requests: DataFrame, client: str, window_seconds: int = 60, limit: int = 100,
-                           ts: str = "timestamp", list_limit: int = LIST_LIMIT) -> DataFrame:
+                           ts: str = "timestamp", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Requests per client and window, where a window opens at the first request after the last one closed.
 
     The openings are the same chains as above. Requests of one moment are counted
     before they are joined to their opening.
     """
-    openings = chain_times(requests, client, ts, window_seconds, list_limit)
+    openings = _openings(requests, client, ts, window_seconds, block_rows)
     per_time = requests.groupBy(client, ts).agg(F.count(F.lit(1)).alias("_n"))
     counted = _with_opening(per_time, openings, client, ts, window_seconds).groupBy(client, "window_start").agg(
         F.sum("_n").alias("requests"))
@@ -203,9 +98,9 @@ def anchored_window_report(requests: DataFrame, client: str, window_seconds: int
 
 
 def anchored_window_admitted(requests: DataFrame, client: str, window_seconds: int = 60, limit: int = 100,
-                             ts: str = "timestamp", tie: str = "id", list_limit: int = LIST_LIMIT) -> DataFrame:
+                             ts: str = "timestamp", tie: str = "id", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The requests that fit: the first ``limit`` of each such window, with its ``window_start``."""
-    openings = chain_times(requests, client, ts, window_seconds, list_limit)
+    openings = _openings(requests, client, ts, window_seconds, block_rows)
     opened = _with_opening(requests, openings, client, ts, window_seconds)
     rank = F.row_number().over(W.partitionBy(client, "window_start").orderBy(ts, tie))
     return opened.withColumn("_rank", rank).filter(F.col("_rank") <= limit).select(*requests.columns, "window_start")

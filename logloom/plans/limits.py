@@ -41,7 +41,7 @@ def dedup_ttl(spark, sf_dir):
 @query("dedup_ttl_busy", "T1", _dedup_sql("event_type"))
 def dedup_ttl_busy(spark, sf_dir):
     """Five hashes hold all rows: the way that never gathers a hash."""
-    return dedup.drop_repeats(repeats(spark, sf_dir, "type"), list_limit=100).drop("content_hash")
+    return dedup.drop_repeats(repeats(spark, sf_dir, "type")).drop("content_hash")
 
 
 @query("dedup_seen", "J3 T7", _dedup_sql(USER_CONTENT))
@@ -96,7 +96,7 @@ def _anchored_sql(key: str) -> str:
 
 @query("fixed_window_anchored", "T2", _anchored_sql(SOURCE_CASE))
 def fixed_window_anchored(spark, sf_dir):
-    return dedup.anchored_window_report(log_events(spark, sf_dir), "source", 3600, 3, list_limit=100)
+    return dedup.anchored_window_report(log_events(spark, sf_dir), "source", 3600, 3)
 
 
 @query("fixed_window_anchored_small", "T2", _anchored_sql("cast(user_id as varchar)"))
