@@ -46,15 +46,16 @@ def sketches(sets: list[np.ndarray], t: int) -> np.ndarray:
     return result
 
 
-def band_keys(result: np.ndarray, rows: int) -> np.ndarray:
-    """(sets, t / rows) numbers: one for each band of ``rows`` coordinates and its place."""
-    count, t = result.shape
-    bands = t // rows
-    parts = mix(result[:, : bands * rows].reshape(count, bands, rows))
-    keys = (parts * (seeds(rows, 19) | np.uint64(1))).sum(axis=2, dtype=np.uint64)
-    return mix(keys + seeds(bands, 23)).view(np.int64)
+def marks_of(result: np.ndarray) -> np.ndarray:
+    """One byte of each coordinate; coordinates that differ share it with a chance of 1 in 256."""
+    return (mix(result) & np.uint64(0xFF)).astype(np.uint8)
 
 
-def low_bytes(result: np.ndarray, count: int) -> np.ndarray:
-    """One byte of each of the first ``count`` coordinates."""
-    return (mix(result[:, :count]) & np.uint64(0xFF)).astype(np.uint8)
+def band_keys(marks: np.ndarray, rows: int) -> np.ndarray:
+    """(sets, t / rows) numbers: one for each band of ``rows`` (at most 8) marks and its place. Keys of a band are equal if and only if its marks are."""
+    count, t = marks.shape
+    bands = t // rows
+    parts = np.zeros((count, bands), np.uint64)
+    for k in range(rows):
+        parts = (parts << np.uint64(8)) | marks[:, : bands * rows].reshape(count, bands, rows)[:, :, k]
+    return mix(parts ^ seeds(bands, 23)).view(np.int64)

@@ -2,7 +2,7 @@
 
 Documents with equal sets form a class, and only one member of each goes on, so thousands of copies cost one. A pair of classes
 at the similarity bound shares a band with a chance of more than 0.999996. Pairs are not listed group by group:
-each round links the members of a band group to one leader, verifies these links on the full sets and finds components.
+each round compares every class with one other, a leader of one of its band groups, on the full sets and finds components.
 Groups whose members all belong to one component are done. What is left after a few rounds is small; there, members
 outside a group's largest component meet all members of other components, so no link between components is lost.
 """
@@ -18,18 +18,21 @@ from logloom.session import settle
 
 from .blocks import flat_of, map_slices, pick
 from .components import components
-from .fast_sketch import band_keys, low_bytes, sketches
+from .fast_sketch import band_keys, marks_of, sketches
 from .shingles import digest_of, shingle_sets
 
 #: Links have 100 * intersection >= 75 * union.
 PERCENT = 75
 #: 64 bands of 6 coordinates.
 BANDS, ROWS = 64, 6
-#: A pair goes to verification if at least so many of 128 coordinates agree in one byte. At the bound 96 agree on
-#: average with a deviation below 5, so a linked pair has fewer with a chance below 1e-12.
-COORDINATES, AGREEING = 128, 60
-#: Rounds with one leader for each group before all that is left is compared.
-LEADER_ROUNDS = 4
+#: A pair goes to verification if at least so many coordinates agree in one byte. At the bound 288 of 384 agree on
+#: average with a deviation of 8.5, so a linked pair has fewer with a chance below 1e-6.
+COORDINATES, AGREEING = BANDS * ROWS, 245
+#: Rounds with one leader for each class go on, up to ``LEADER_ROUNDS``, while comparing all that is left would make more than
+#: ``PAIRS_EACH`` pairs for each member of a group and the last round has saved a fifth of them. All that is left is compared at the end.
+LEADER_ROUNDS, PAIRS_EACH, SAVED = 6, 8, 0.2
+#: Members of a group that one task compares with all others, and others at a time.
+PART, AT_ONCE = 512, 64
 
 
 def sketched(docs: DataFrame) -> DataFrame:
@@ -39,8 +42,8 @@ def sketched(docs: DataFrame) -> DataFrame:
         sets = list(shingle_sets(flat_of(batch)))
         sizes = np.array([len(s) for s in sets], np.int64)
         digests = np.array([digest_of(s) for s in sets], np.int64).reshape(-1, 2)
-        found = sketches([s for s in sets if len(s)], BANDS * ROWS)
-        keys, marks = iter(band_keys(found, ROWS)), iter(low_bytes(found, COORDINATES))
+        found = marks_of(sketches([s for s in sets if len(s)], COORDINATES))
+        keys, marks = iter(band_keys(found, ROWS)), iter(found)
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id").cast(pa.int64()), pa.array(sizes), pa.array(digests[:, 0]), pa.array(digests[:, 1]),
              pa.array([next(keys) if n else None for n in sizes], pa.list_(pa.int64())),
@@ -61,15 +64,18 @@ def full_sets(docs: DataFrame, column: str) -> DataFrame:
     return map_slices(pick(docs, "doc_id", "text"), work, f"{column} bigint, shingles array<bigint>")
 
 
+def _marks(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, COORDINATES)
+
+
 def _agreeing(pairs: DataFrame) -> DataFrame:
     """Pairs (a, b, marks_a, marks_b) whose sketches agree often enough."""
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, COORDINATES) for c in ("marks_a", "marks_b"))
-                close = pa.array((left == right).sum(axis=1) >= AGREEING)
-                yield batch.select(["a", "b"]).filter(close)
+                close = (_marks(batch.column("marks_a")) == _marks(batch.column("marks_b"))).sum(axis=1) >= AGREEING
+                yield batch.select(["a", "b"]).filter(pa.array(close))
 
     return pairs.select("a", "b", "marks_a", "marks_b").mapInArrow(run, "a bigint, b bigint")
 
@@ -82,17 +88,20 @@ class _Links:
         self.links: DataFrame | None = None
 
     def verify(self, pairs: DataFrame) -> None:
-        """Adds those of the distinct ``pairs`` (a, b) that full sets confirm."""
+        """Adds those of the distinct ``pairs`` (a, b) that sketches allow and full sets confirm."""
         one = self.classes.select(F.col("class_id").alias("a"), F.col("marks").alias("marks_a"))
         two = self.classes.select(F.col("class_id").alias("b"), F.col("marks").alias("marks_b"))
         close = settle(_agreeing(pairs.join(one, "a").join(two, "b")))
-        wanted = settle(close.select("a").union(close.select("b")).distinct().withColumnRenamed("a", "doc_id"))
-        sets = settle(full_sets(pick(self.docs, "doc_id", "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "doc_id"))
+        wanted = close.select("a").union(close.select("b")).distinct().withColumnRenamed("a", "doc_id")
+        sets = settle(full_sets(self.docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "doc_id"))
         one = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
         two = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
         common = F.size(F.array_intersect("set_a", "set_b"))
         union = F.size("set_a") + F.size("set_b") - common
-        found = settle(close.join(one, "a").join(two, "b").where(100 * common >= PERCENT * union).select("a", "b"))
+        self.add(close.join(one, "a").join(two, "b").where(100 * common >= PERCENT * union).select("a", "b"))
+
+    def add(self, found: DataFrame) -> None:
+        found = settle(found)
         self.links = found if self.links is None else self.links.union(found)
 
 
@@ -109,26 +118,97 @@ def _possible() -> F.Column:
     return 100 * F.least("size_a", "size_b") >= PERCENT * F.greatest("size_a", "size_b")
 
 
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """Distinct (a, b) with a < b of the (class_id, size_a, other, size_b) that sizes allow."""
+    return pairs.where(_possible()).select(F.least("class_id", "other").alias("a"), F.greatest("class_id", "other").alias("b")).distinct()
+
+
+def _one_each(pairs: DataFrame, turn: int | None = None) -> DataFrame:
+    """Of the partners that sizes allow one for each class: the smallest, or by a hash that changes with ``turn``."""
+    rank = F.col("other") if turn is None else F.xxhash64("other", F.lit(turn))
+    chosen = pairs.where(_possible()).groupBy("class_id", "size_a").agg(F.min(F.struct(rank.alias("rank"), "other", "size_b")).alias("own"))
+    return _ordered(chosen.select("class_id", "size_a", "own.other", "own.size_b"))
+
+
 def _with_leaders(groups: DataFrame, turn: int) -> DataFrame:
-    """Each group's members outside the leader's component, with the leader; leaders come from rarer components."""
-    rank = F.struct(F.xxhash64("key", "component", F.lit(turn)), F.xxhash64("class_id", F.lit(turn)), "class_id", "component", "size")
-    leaders = groups.groupBy("key").agg(F.min(rank).alias("leader"))
-    pairs = groups.join(leaders, "key").where(F.col("component") != F.col("leader.component"))
-    return _ordered(pairs.select("class_id", F.col("leader.class_id").alias("other"), F.col("size").alias("size_a"), F.col("leader.size").alias("size_b")))
+    """Each class outside a group's largest component with one member of that."""
+    some = F.min(F.struct(F.xxhash64("class_id", F.lit(turn)), "class_id", "size")).alias("some")
+    parts = groups.groupBy("key", "component").agg(F.count("*").alias("own"), some)
+    leaders = parts.groupBy("key").agg(F.max(F.struct("own", "component", "some")).alias("top"))
+    pairs = groups.join(leaders, "key").where(F.col("component") != F.col("top.component"))
+    return _one_each(pairs.select("class_id", F.col("size").alias("size_a"), F.col("top.some.class_id").alias("other"), F.col("top.some.size").alias("size_b")), turn)
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.where(_possible()).select(F.least("class_id", "other").alias("a"), F.greatest("class_id", "other").alias("b")).distinct()
+def _left(groups: DataFrame) -> tuple[int, int]:
+    """Members of unfinished groups, and pairs that :func:`_all_left` would look at."""
+    sizes = groups.groupBy("key", "component").agg(F.count("*").alias("own"))
+    totals = sizes.groupBy("key").agg(F.sum("own").alias("all"), F.max("own").alias("most"))
+    row = totals.agg(F.sum("all").alias("members"), F.sum(F.expr("(all - most) * all")).alias("pairs")).first()
+    return row.members or 0, row.pairs or 0
+
+
+def _all_left(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
+    """Links (a, b) of members outside their group's largest component with members of other components.
 
+    Groups with the same largest component are compared together, so a class is there once however many bands it shares.
+    The members to be compared are cut into parts; a task holds the sketches and sets of one part and lets the others pass by. Only links become rows.
+    """
+    sizes = groups.groupBy("key", "component").agg(F.count("*").alias("own"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("own", "component")).alias("top")).select("key", F.col("top.component").alias("largest"))
+    members = settle(groups.join(largest, "key").select("largest", "class_id", "size", "component").distinct())
+    counts = members.where("component <> largest").groupBy("largest").agg(F.expr(f"cast(ceil(count(*) / {PART}) as int)").alias("parts"))
+    wanted = members.select(F.col("class_id").alias("doc_id")).distinct()
+    sets = full_sets(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "class_id")
+    known = settle(classes.select("class_id", "marks").join(sets, "class_id"))
+    place = F.expr("""explode(concat(
+        if(component <> largest, array(struct(cast(pmod(xxhash64(class_id), parts) as int) as part, false as passing)), array()),
+        transform(sequence(0, parts - 1), part -> struct(part, true as passing)))) as place""")
+    dealt = members.join(counts, "largest").select("largest", "class_id", "size", "component", place)
+    dealt = dealt.select("largest", "place.part", "place.passing", "class_id", "size", "component").join(known, "class_id")
 
-def _all_left(groups: DataFrame) -> DataFrame:
-    """Members outside their group's largest component, with all members of other components."""
-    sizes = groups.groupBy("key", "component").agg(F.count("*").alias("members"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("members", "component")).alias("top")).select("key", F.col("top.component").alias("largest"))
-    minor = groups.join(largest, "key").where("component <> largest").select(
-        "key", F.col("class_id").alias("other"), F.col("component").alias("theirs"), F.col("size").alias("size_b"))
-    pairs = groups.withColumnRenamed("size", "size_a").join(minor, "key").where("component <> theirs")
-    return _ordered(pairs)
+    def run(batches):
+        at, waiting = None, []
+        for batch in batches:
+            keys, parts = batch.column("largest").to_numpy(), batch.column("part").to_numpy()
+            passing = batch.column("passing").to_numpy(zero_copy_only=False)
+            edges = np.flatnonzero((np.diff(keys) != 0) | (np.diff(parts) != 0) | (np.diff(passing.astype(np.int8)) != 0)) + 1
+            for begin, end in zip([0, *edges], [*edges, batch.num_rows], strict=True):
+                if begin == end:
+                    continue
+                rows = batch.slice(begin, end - begin)
+                if at != (keys[begin], parts[begin]):
+                    at, waiting = (keys[begin], parts[begin]), []
+                if not passing[begin]:
+                    waiting.append(rows)
+                    continue
+                if len(waiting) > 1:
+                    waiting = [pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]]
+                for k in range(0, rows.num_rows if waiting else 0, AT_ONCE):
+                    if (found := _compared(waiting[0], rows.slice(k, AT_ONCE))).num_rows:
+                        yield found
+
+    dealt = dealt.repartition("largest", "part").sortWithinPartitions("largest", "part", "passing")
+    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def _compared(held: pa.RecordBatch, others: pa.RecordBatch) -> pa.RecordBatch:
+    """Links between two sets of rows: pairs of different components that share a band and whose sizes, sketches and sets are similar enough."""
+    one, two = ({c: rows.column(c).to_numpy() for c in ("class_id", "size", "component", "largest")} for rows in (held, others))
+    fits = one["component"][:, None] != two["component"]
+    fits &= (two["component"] == two["largest"]) | (one["class_id"][:, None] < two["class_id"])
+    fits &= 100 * np.minimum(one["size"][:, None], two["size"]) >= PERCENT * np.maximum(one["size"][:, None], two["size"])
+    left, right = np.nonzero(fits)
+    same = _marks(held.column("marks"))[left] == _marks(others.column("marks"))[right]
+    close = np.flatnonzero(same.sum(axis=1) >= AGREEING)
+    close = close[same[close].reshape(len(close), BANDS, ROWS).all(axis=2).any(axis=1)]
+    links = []
+    for i, j in zip(left[close], right[close], strict=True):
+        set_a, set_b = (rows.column("shingles")[int(k)].values.to_numpy() for rows, k in ((held, i), (others, j)))
+        common = len(np.intersect1d(set_a, set_b, assume_unique=True))
+        if 100 * common >= PERCENT * (len(set_a) + len(set_b) - common):
+            links.append(sorted((one["class_id"][i], two["class_id"][j])))
+    a, b = zip(*links, strict=True) if links else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
@@ -148,15 +228,23 @@ def near_classes(docs: DataFrame) -> DataFrame:
     leaders = shared.groupBy("key").agg(F.min(F.struct("class_id", "size")).alias("leader"), F.count("*").alias("members")).where("members > 1")
     bands = settle(shared.join(leaders, "key").select("key", "class_id", "size", "leader"))
     links = _Links(named_docs, classes)
-    links.verify(_ordered(bands.where("class_id <> leader.class_id").select(
-        "class_id", F.col("leader.class_id").alias("other"), F.col("size").alias("size_a"), F.col("leader.size").alias("size_b"))))
+    links.verify(_one_each(bands.where("class_id <> leader.class_id").select(
+        "class_id", F.col("size").alias("size_a"), F.col("leader.class_id").alias("other"), F.col("leader.size").alias("size_b"))))
     bands = bands.drop("leader")
+    found, before = settle(components(links.links)), None
     for turn in range(LEADER_ROUNDS + 1):
-        groups = _groups(bands, settle(components(links.links)))
-        if groups.isEmpty():
+        groups = _groups(bands, found)
+        members, pairs = _left(groups)
+        if not members:
+            break
+        last = turn == LEADER_ROUNDS or pairs <= PAIRS_EACH * members or (before is not None and pairs > (1 - SAVED) * before)
+        if last:
+            links.add(_all_left(named_docs, classes, groups))
+        else:
+            links.verify(_with_leaders(groups, turn))
+        found, before = settle(components(links.links)), pairs
+        if last:
             break
-        links.verify(_with_leaders(groups, turn) if turn < LEADER_ROUNDS else _all_left(groups))
-    found = settle(components(links.links))
     ids = classes.select("d1", "d2", "n_shingles", "class_id").join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
     ids = ids.select("d1", "d2", "n_shingles", F.coalesce("component", "class_id").alias("_found"))
     linked = own.select("doc_id", "n_shingles", "d1", "d2").join(ids, ["d1", "d2", "n_shingles"]).select("doc_id", "n_shingles", "_found")
