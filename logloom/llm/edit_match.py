@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .blocks import map_slices, pick, texts_of
 
 #: Characters of a unit at least, and characters that allow one edit.
-UNIT, PER_EDIT = 80, 14
+UNIT, PER_EDIT = 80, 12
 #: A shorter item only counts where it is the whole document.
 LEAST = 24
 #: Bytes of test items that one pass over the documents holds.
