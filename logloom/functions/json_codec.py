@@ -18,7 +18,8 @@ def decode(df: DataFrame, schema: T.StructType, value: str = "value", out: str =
     read = F.from_json(
         F.col(value), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     names = [field.name for field in schema.fields]
-    decoded = df.withColumn("_read", read)
+    # Out of a generator, so that later filters on the fields stay above it and do not decode again.
+    decoded = df.select(*df.columns, F.explode(F.array(read)).alias("_read"))
     bad = F.col("_read").isNull() | F.col(f"_read.{CORRUPT}").isNotNull()
     return decoded.select(
         *df.columns,

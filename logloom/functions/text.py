@@ -16,11 +16,17 @@ def content_hash(content: Column) -> Column:
 
 
 def string_hash32(content: Column) -> Column:
-    """The 31-multiplier 32-bit string hash, for data that already carries it (ASCII text only)."""
+    """The 31-multiplier 32-bit string hash over UTF-16 units, for data that already carries it.
+
+    A character beyond the basic plane is two units.
+    """
+    code = lambda ch: F.ascii(ch).cast("bigint")
+    step = lambda acc, unit: F.pmod(acc * 31 + unit, F.lit(2 ** 32))
     wrapped = F.aggregate(
         F.split(content, ""),
         F.lit(0).cast("bigint"),
-        lambda acc, ch: F.pmod(acc * 31 + F.ascii(ch).cast("bigint"), F.lit(2 ** 32)),
+        lambda acc, ch: F.when(code(ch) < 0x10000, step(acc, code(ch))).otherwise(step(
+            step(acc, F.lit(0xD7C0) + F.shiftright(code(ch), 10)), F.lit(0xDC00) + code(ch).bitwiseAND(F.lit(0x3FF)))),
     )
     return F.when(wrapped >= 2 ** 31, wrapped - 2 ** 32).otherwise(wrapped).cast("int")
 

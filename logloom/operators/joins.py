@@ -49,15 +49,19 @@ def hot_view(events: DataFrame, as_of: Moment, tie: str = "id") -> DataFrame:
 def lookup_hot_then_warm(keys: DataFrame, hot: DataFrame, warm: DataFrame, tie: str = "id") -> DataFrame:
     """Events for a set of trace ids: from the hot tier where it has them, else from the warm one.
 
-    ``copies`` counts the warm rows that share the trace id; the newest is returned.
+    ``copies`` counts the warm rows that share the trace id, 1 for an event that is in the hot tier only. Each
+    tier is read once, and what it has for a trace id is one row before the tiers meet.
     """
     wanted = keys.select("trace_id").distinct()
     columns = [c for c in warm.columns if c in hot.columns]
-    from_hot = hot.join(wanted, "trace_id", "left_semi").select(
-        *columns, F.lit("hot").alias("tier"), F.lit(1).cast("bigint").alias("copies"))
-    missing = wanted.join(hot.select("trace_id"), "trace_id", "left_anti")
-    found = warm.join(missing, "trace_id", "left_semi").select(*columns)
-    return from_hot.unionByName(newest_with_copies(found, tie).withColumn("tier", F.lit("warm")))
+    rest = [c for c in columns if c != "trace_id"]
+    cold = newest_with_copies(warm.join(wanted, "trace_id", "left_semi").select(*columns), tie)
+    cold = cold.select("trace_id", F.struct(*rest).alias("_warm"), "copies")
+    live = hot.join(wanted, "trace_id", "left_semi").select("trace_id", F.struct(*rest).alias("_hot"))
+    found = live.join(cold, "trace_id", "full_outer")
+    tier = F.when(F.col("_hot").isNotNull(), F.lit("hot")).otherwise(F.lit("warm"))
+    return found.withColumns({"_row": F.coalesce("_hot", "_warm"), "tier": tier, "copies": F.coalesce("copies", F.lit(1).cast("bigint"))}).select(
+        "trace_id", "_row.*", "tier", "copies").select(*columns, "tier", "copies")
 
 
 def newest_with_copies(events: DataFrame, tie: str = "id") -> DataFrame:
@@ -79,14 +83,6 @@ def add_location(events: DataFrame, locations: DataFrame) -> DataFrame:
     return events.join(locations.select("ip_address", "location"), "ip_address", "left")
 
 
-def combine_stats(*services: DataFrame) -> DataFrame:
-    """Statistics of several services as one list of rows."""
-    first, *others = services
-    for other in others:
-        first = first.unionByName(other)
-    return first
-
-
 def system_stats(stats: DataFrame, services: list[str], metric: str) -> DataFrame:
     """One row with a column per service; a service without statistics shows ``unavailable``."""
     return stats.filter(F.col("metric") == metric).agg(*[

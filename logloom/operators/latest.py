@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -23,14 +23,18 @@ def newest(df: DataFrame, keys: list[str], ts: str = "timestamp", tie: str | Non
 
 
 def upsert(existing: DataFrame, batch: DataFrame, key: str = "id", version: str = "processed_at",
-           tie: str | None = None) -> DataFrame:
+           arrival: str | None = None) -> DataFrame:
     """Existing rows overlaid by a batch: last write wins, and writing a batch twice changes nothing.
 
-    On equal versions the batch wins, as it was written later.
+    On equal versions the later ``arrival`` wins (a topic offset, say), without one the batch, as it was
+    written later; what is equal in all of this is decided by the other columns, so the order of the input never matters. Rows
+    without key are no versions of each other; each of them stays.
     """
     both = existing.withColumn("_late", F.lit(0)).unionByName(
         batch.withColumn("_late", F.lit(1)), allowMissingColumns=True)
-    order = [F.col(version).desc_nulls_last(), F.col("_late").desc()]
-    if tie is not None:
-        order.append(F.col(tie).desc_nulls_last())
-    return latest_per_key(both, [key], order).drop("_late")
+    order = [version, *([arrival] if arrival else []), "_late"]
+    rest = [F.array_sort(F.map_entries(f.name)) if isinstance(f.dataType, T.MapType) else F.col(f.name)
+            for f in both.schema.fields if f.name not in (key, *order)]
+    ranked = latest_per_key(both.filter(F.col(key).isNotNull()), [key],
+                            [*[F.col(c).desc_nulls_last() for c in order], *[c.desc_nulls_last() for c in rest]])
+    return ranked.unionByName(both.filter(F.col(key).isNull())).drop("_late")

@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.time import Moment, moment
 from .filters import search, select_events
 
 # Default page sizes of the two query APIs and the search limit.
@@ -46,13 +45,27 @@ def page_of(df: DataFrame, page: int = 0, size: int = EVENT_PAGE_SIZE, sort_by:
     return df.orderBy(*sort_columns(df, sort_by, direction, tie)).offset(page * size).limit(size)
 
 
-def page_after(df: DataFrame, last_timestamp: Moment | None, last_id: object, size: int = EVENT_PAGE_SIZE,
-               ts: str = "timestamp", tie: str = "id") -> DataFrame:
-    """The ``size`` rows that follow a known last row, newest first."""
-    if last_timestamp is not None:
-        last = moment(last_timestamp)
-        df = df.filter((F.col(ts) <= last) & ((F.col(ts) < last) | (F.col(tie) > F.lit(last_id))))
-    return df.orderBy(*sort_columns(df, ts, "desc", tie)).limit(size)
+def page_after(df: DataFrame, after: tuple[object, object] | None = None, size: int = EVENT_PAGE_SIZE,
+               sort_by: str = "timestamp", direction: str = "desc", tie: str = "id") -> DataFrame:
+    """The ``size`` rows that follow a known last row, given as (value of ``sort_by``, value of ``tie``); None is the first page.
+
+    Rows without a value come last when descending and first when ascending, as in :func:`page_of`; ``tie`` has a value in every row.
+    """
+    order = sort_columns(df, sort_by, direction, tie)
+    if after is not None:
+        value = after[0]
+        column, later = F.col(sort_by), F.col(tie) > F.lit(after[1])
+        descending = direction.lower() == "desc"
+        if value is None:
+            beyond = column.isNull() & later
+            df = df.filter(beyond if descending else beyond | column.isNotNull())
+        else:
+            known = F.lit(value).cast(df.schema[sort_by].dataType)
+            if descending:
+                df = df.filter((column <= known) & ((column < known) | later) | column.isNull())
+            else:
+                df = df.filter((column >= known) & ((column > known) | later))
+    return df.orderBy(*order).limit(size)
 
 
 def total_of(df: DataFrame) -> DataFrame:

@@ -124,7 +124,7 @@ def query_logs_sorted(spark, sf_dir):
 @query("query_logs_page_after", "O2", _sql(
     f"where \"timestamp\" <= timestamp '{TO}' order by \"timestamp\" desc, id limit 50"))
 def query_logs_page_after(spark, sf_dir):
-    return paging.page_after(log_events(spark, sf_dir), TO, -1)
+    return paging.page_after(log_events(spark, sf_dir), (TO, -1))
 
 
 @query("search_logs", "O4 F11", _sql(

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from ..functions.text import size_in_bytes
+from ..functions.time import as_datetime, moment
+from ..operators import joins
 from ..operators.latest import upsert
+from ..operators.paging import page_after
 from ..operators.stats import count_by
+from ..session import shared_dir
 from ..sinks import rotation, tiers, warm
 from .catalog import query
 from .inputs import AS_OF, LOG_EVENTS_SQL, events, log_events
@@ -133,3 +141,114 @@ def size_strings(spark, sf_dir):
     unit = F.element_at(F.array(*map(F.lit, ["", "KB", "MB", "GB"])), (F.col("event_id") % 4 + 1).cast("int"))
     text = F.concat(F.col("event_id").cast("string"), unit)
     return events(spark, sf_dir).select("event_id", size_in_bytes(text).alias("bytes"))
+
+
+def _folder(spark) -> str:
+    return f"{shared_dir(spark)}/logloom-runs/{uuid.uuid4().hex}"
+
+
+def _shared_traces(spark, sf_dir):
+    """Three events per trace id, in the order of their ids."""
+    return log_events(spark, sf_dir).select(
+        "id", "level", "message", "timestamp", F.md5(F.concat(F.lit("s"), F.floor(F.col("id") / 3).cast("string"))).alias("trace_id"))
+
+
+@query("rotate_cold", "K16 K11", f"""with {LOG_EVENTS_SQL},
+    cold as (select id, lower(level) as level, cast("timestamp" as date) as day from log_events
+      where level in ('ERROR', 'WARN') or "timestamp" < timestamp '{AS_OF}' - interval 7 day),
+    moved as (select id, level, day, true as rotated from cold union all select id, level, day, true from cold where id % 10 = 0
+      union all select id, level, day, false from cold where id % 7 = 0)
+    select level, cast(day as varchar) as day, rotated, count(*) as lines, cast(sum(id) as bigint) as ids from moved group by 1, 2, 3""")
+def rotate_cold(spark, sf_dir):
+    """Rotated, appended to, rotated again at the same time and appended to again: archive and rest hold every line once."""
+    base, rows = _folder(spark), log_events(spark, sf_dir).select(*_EVENT)
+    for number, part in enumerate((rows, rows.filter("id % 10 = 0"))):
+        tiers.append_cold(part, f"{base}/cold", AS_OF, number)
+        rotation.rotate(spark, f"{base}/cold", f"{base}/archive", AS_OF, max_size=0)
+    tiers.append_cold(rows.filter("id % 7 = 0"), f"{base}/cold", AS_OF, 2)
+    lines = [spark.read.text(f"{base}/{name}").select("value", "level", "date", F.lit(name == "archive").alias("rotated")) for name in ("cold", "archive")]
+    found = lines[0].unionByName(lines[1]).withColumn("id", F.get_json_object("value", "$.id").cast("bigint"))
+    return found.groupBy("level", F.col("date").cast("string").alias("day"), "rotated").agg(
+        F.count("*").alias("lines"), F.sum("id").alias("ids"))
+
+
+@query("upsert_table", "K7 W1", f"""with {LOG_EVENTS_SQL},
+    written as (select id, level, "timestamp", 0 as write from log_events
+      union all select id, lower(level), case when id % 4 = 0 then "timestamp" + interval 1 day else "timestamp" end, 1 from log_events where id % 2 = 0
+      union all select id, 'old', "timestamp", -1 from log_events where id % 3 = 0),
+    ranked as (select *, row_number() over (partition by id order by write desc) as rn from written)
+    select id, level, "timestamp", 'stored' as kind from ranked where rn = 1
+    union all select null, level, null, 'rejected' from log_events where id % 50 = 0""")
+def upsert_table(spark, sf_dir):
+    """A table appended in two batches, then overlaid twice by rows of one version, some on another day, some without id."""
+    base = _folder(spark)
+    rows = log_events(spark, sf_dir).select("id", "level", "timestamp", moment(AS_OF).alias("processed_at"), F.lit(0).alias("write"))
+    for number in (0, 1):
+        warm.append_events(rows.filter(F.col("id") % 2 == number), f"{base}/warm", number)
+    day = F.expr("interval 1 day")
+    changed = rows.filter("id % 2 = 0").withColumns({
+        "level": F.lower("level"), "write": F.lit(1),
+        "timestamp": F.when(F.col("id") % 4 == 0, F.col("timestamp") + day).otherwise(F.col("timestamp"))})
+    late = rows.filter("id % 3 = 0").withColumns({"level": F.lit("old"), "write": F.lit(-1)})
+    nameless = rows.filter("id % 50 = 0").withColumn("id", F.lit(None).cast("bigint"))
+    warm.upsert_events(changed.unionByName(late).unionByName(nameless), f"{base}/warm", arrival="write", rejects=f"{base}/dead")
+    warm.upsert_events(changed, f"{base}/warm", arrival="write")
+    stored = spark.read.parquet(f"{base}/warm").select("id", "level", "timestamp", F.lit("stored").alias("kind"))
+    dead = spark.read.schema("raw_log string").json(f"{base}/dead")
+    return stored.unionByName(dead.select(
+        F.lit(None).cast("bigint").alias("id"), F.get_json_object("raw_log", "$.level").alias("level"),
+        F.lit(None).cast("timestamp_ntz").alias("timestamp"), F.lit("rejected").alias("kind")))
+
+
+@query("hot_table", "K10 J2", f"""with {LOG_EVENTS_SQL},
+    live as (select id, id % 3 as batch, md5(concat('s', cast(id // 3 as varchar))) as trace_id, "timestamp" from log_events
+      where "timestamp" > timestamp '{AS_OF}' - interval 24 hour),
+    ranked as (select *, row_number() over (partition by trace_id order by batch) as rn from live)
+    select trace_id, id, "timestamp" from ranked where rn = 1""")
+def hot_table(spark, sf_dir):
+    """Three batches, the first of which is written last: it wins although its events are not the newest."""
+    base, rows = _folder(spark), _shared_traces(spark, sf_dir)
+    for number in (2, 1, 0):
+        tiers.store_batch(rows.filter(F.col("id") % 3 == number), base, AS_OF, 2 - number)
+    hot = tiers.read_hot(spark, f"{base}/hot", AS_OF)
+    return hot.select("trace_id", F.get_json_object("document", "$.id").cast("bigint").alias("id"), "timestamp")
+
+
+@query("lookup_copies", "J2 F13", f"""with {LOG_EVENTS_SQL},
+    shared as (select id, level, message, "timestamp", md5(concat('s', cast(id // 3 as varchar))) as trace_id from log_events),
+    newest as (select *, row_number() over (partition by trace_id order by "timestamp" desc, id desc) as rn, count(*) over (partition by trace_id) as copies from shared)
+    select trace_id, id, copies, case when "timestamp" > timestamp '{AS_OF}' - interval 24 hour then 'hot' else 'warm' end as tier from newest where rn = 1""")
+def lookup_copies(spark, sf_dir):
+    rows = _shared_traces(spark, sf_dir)
+    found = joins.lookup_hot_then_warm(rows.select("trace_id"), joins.hot_view(rows, AS_OF), rows)
+    return found.select("trace_id", "id", "copies", "tier")
+
+
+@query("retention_table", "K17 K8", f"""with {LOG_EVENTS_SQL}
+    select id, "timestamp" from log_events where "timestamp" >= timestamp '{AS_OF}' - interval 255 hour""")
+def retention_table(spark, sf_dir):
+    """A table in two batches after retention, the edge day cut at the hour."""
+    base = _folder(spark)
+    rows = log_events(spark, sf_dir).select(*_EVENT)
+    for number in (0, 1):
+        warm.append_events(rows.filter(F.col("id") % 2 == number), f"{base}/warm", number)
+    warm.apply_retention(spark, f"{base}/warm", as_datetime(AS_OF) - timedelta(hours=15), days=10)
+    return spark.read.parquet(f"{base}/warm").select("id", "timestamp")
+
+
+@query("pages_walked", "O1 O2", f"""with {LOG_EVENTS_SQL}
+    select organization_id, cast(count(*) as bigint) as rows, cast(sum(id) as bigint) as ids from log_events where id % 97 = 0 group by 1""")
+def pages_walked(spark, sf_dir):
+    """All pages by a column with nulls, one after the other, hold every row once."""
+    rows = log_events(spark, sf_dir).filter("id % 97 = 0")
+    thin = rows.withColumn("level", F.when(F.col("id") % 2 == 0, F.col("level")))
+    pages, after, size = [], None, max(1, rows.count() // 6 + 1)
+    while True:
+        page = page_after(thin, after, size, "level", "asc")
+        last = page.select("level", "id").orderBy(F.col("level").desc(), F.col("id").desc()).first()
+        if last is None:
+            break
+        pages.append(page)
+        after = tuple(last)
+    return functools.reduce(lambda a, b: a.unionByName(b), pages).groupBy("organization_id").agg(
+        F.count("*").alias("rows"), F.sum("id").alias("ids"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -10,7 +9,6 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_SHARED_DIRS: dict[str, str] = {}
 _SETTLED: ContextVar[list[str]] = ContextVar("settled", default=[])  # noqa: B039  (one list per process)
 
 
@@ -40,8 +38,7 @@ def build_session(app_name: str = "logloom", master: str | None = None, **conf:
 def shared_dir(spark: SparkSession) -> str:
     """The folder for checkpoints and staged tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a local session without
-    that setting gets a folder of its own on this machine.
+    The session names it, in ``spark.checkpoint.dir`` or as its checkpoint folder; there is no other.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -49,12 +46,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_SHARED_DIRS:
-        _LOCAL_SHARED_DIRS[app] = tempfile.mkdtemp(prefix="logloom-")
-    return _LOCAL_SHARED_DIRS[app]
+    raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
 
 
 def settle(df: DataFrame) -> DataFrame:

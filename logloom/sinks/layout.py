@@ -62,10 +62,22 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return bool(files.exists(found))
 
 
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Paths of what a folder holds; none if there is no such folder."""
+    files, found = _hadoop_path(spark, path)
+    return [str(entry.getPath().toString()) for entry in files.listStatus(found)] if files.exists(found) else []
+
+
+def drop_files(spark: SparkSession, paths: Iterable[str]) -> None:
+    for path in paths:
+        files, found = _hadoop_path(spark, path)
+        files.delete(found, False)
+
+
 def drop_partitions(spark: SparkSession, path: str, names: Iterable[str]) -> None:
     """Remove whole partition folders such as ``date=2024-01-05``."""
     for name in names:
-        files, found = _hadoop_path(spark, f"{path}/{name}")
+        files, found = _hadoop_path(spark, f"{path}/{name}" if name else path)
         files.delete(found, True)
 
 

@@ -8,7 +8,7 @@ from ..functions.json_codec import encode
 from ..functions.time import Moment, before, moment
 from ..operators.filters import cold_condition, cold_eligible
 from ..operators.joins import HOT_HOURS, hot_view
-from ..operators.latest import newest
+from ..operators.latest import latest_per_key
 from .layout import day_folder, drop_partitions, with_day, write_partitions
 from .warm import append_events
 
@@ -25,11 +25,15 @@ def hot_rows(events: DataFrame, as_of: Moment, tie: str = "id") -> DataFrame:
 
 
 def read_hot(spark: SparkSession, path: str, as_of: Moment) -> DataFrame:
-    """What the hot tier holds now: the last document written per trace id that is not yet a day old."""
+    """What the hot tier holds now: of the documents that are not yet a day old the last one written per trace id.
+
+    Later batches are later writes; inside a batch there is one document per trace id.
+    """
     since = before(as_of, hours=HOT_HOURS)
     stored = spark.read.parquet(path).filter(
         (F.col("date") >= F.lit(since.date())) & (F.col("timestamp") > moment(since)))
-    return newest(stored, ["trace_id"], tie="batch").select("trace_id", "timestamp", "document")
+    written = [F.col("batch").desc(), F.col("timestamp").desc_nulls_last(), F.col("document").desc()]
+    return latest_per_key(stored, ["trace_id"], written).select("trace_id", "timestamp", "document")
 
 
 def expire_hot(spark: SparkSession, path: str, as_of: Moment) -> None:

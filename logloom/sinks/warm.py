@@ -6,16 +6,20 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.json_codec import encode
 from ..functions.time import Moment, as_datetime, epoch_seconds, moment
 from ..operators.filters import EPOCH
 from ..operators.latest import upsert
 from ..session import settle, settled_here
 from .layout import (day_folder, drop_partitions, on_days, replace_partitions, table_exists, with_day,
                      write_partitions)
+from .letters import append_letters
 
 # Fixed value: how long events are kept.
 RETENTION_DAYS = 30
 LOOKUP_COLUMNS = ["id", "trace_id"]
+#: Batch number of days that were merged.
+MERGED = -1
 
 
 def _lookup_options(events: DataFrame) -> dict[str, str]:
@@ -43,28 +47,45 @@ def append_metadata(events: DataFrame, path: str, batch_id: int | None = None, k
 
 
 def upsert_events(batch: DataFrame, path: str, key: str = "id", version: str = "processed_at",
-                  days_can_change: bool = True) -> None:
+                  days_can_change: bool = True, arrival: str | None = None, rejects: str | None = None) -> None:
     """Store a batch by id: last write wins, and storing a batch twice changes nothing.
 
-    Only the days the batch touches are rewritten. An event whose day changed also
+    ``arrival`` names a column that orders writes of one version. Rows without id cannot be stored by id: they go to
+    the dead-letter folder ``rejects``, or the batch is refused. Only the days the batch touches are
+    rewritten; in a table that was appended in batches, they become one batch each. An event whose day changed also
     touches its old day; if that cannot happen (a redelivered event keeps its time),
     ``days_can_change=False`` saves the search for old days.
     """
     spark = batch.sparkSession
     with settled_here(spark):
         incoming = settle(with_bounds(batch))
+        nameless = incoming.filter(F.col(key).isNull())
+        if not nameless.isEmpty():
+            if rejects is None:
+                raise ValueError(f"rows without {key}; name a folder for rejects")
+            shown = encode(*batch.columns).alias("raw_log")
+            append_letters(nameless.select(shown, F.lit(f"no {key}").alias("failure_reason"), "timestamp"), rejects)
+            incoming = incoming.filter(F.col(key).isNotNull())
         if not table_exists(spark, path):
-            _replace_days(upsert(incoming.limit(0), incoming, key, version), path)
+            _replace_days(upsert(incoming.limit(0), incoming, key, version, arrival), path)
             return
         stored = spark.read.parquet(path)
+        batched = "batch" in stored.columns
         touched = incoming.select("date")
         if days_can_change:
             touched = touched.unionByName(stored.join(incoming.select(key), key, "left_semi").select("date"))
         days = [row["date"] for row in touched.distinct().collect()]  # calendar days, not rows
-        merged = settle(upsert(stored.filter(on_days(days)), incoming, key, version))
+        old = stored.filter(on_days(days))
+        before = [(row["date"], row["batch"]) for row in old.select("date", "batch").distinct().collect()] if batched else []
+        merged = settle(upsert(old.drop("batch"), incoming, key, version, arrival))
         left = {row["date"] for row in merged.select("date").distinct().collect()}
-        _replace_days(merged, path)
-        drop_partitions(spark, path, [day_folder(day) for day in days if day not in left])
+        if batched:
+            # Until the older batches are gone a reader may see a row twice; storing the batch again mends that.
+            _replace_days(merged.withColumn("batch", F.lit(MERGED)), path, ["date", "batch"])
+            drop_partitions(spark, path, [f"{day_folder(day)}/batch={number}" for day, number in before if number != MERGED or day not in left])
+        else:
+            _replace_days(merged, path)
+            drop_partitions(spark, path, [day_folder(day) for day in days if day not in left])
 
 
 def _replace_days(events: DataFrame, path: str, columns: list[str] | None = None) -> None:

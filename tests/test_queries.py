@@ -68,9 +68,9 @@ def test_pages(log):
     assert ids(paging.page_of(log, 2, 3)) == [6]
     assert ids(paging.page_of(log, 9, 3)) == []
     assert ids(paging.page_of(log, 0, 2, "source", "asc")) == [6, 1]
-    first = paging.page_after(log, None, None, 3)
+    first = paging.page_after(log, None, 3)
     assert ids(first) == [4, 5, 3]
-    assert ids(paging.page_after(log, "2024-05-01 11:00:00", 4, 2)) == [5, 3]
+    assert ids(paging.page_after(log, ("2024-05-01 11:00:00", 4), 2)) == [5, 3]
     assert paging.query_events(log, level="INFO").total.first()["total"] == 2
     assert ids(paging.search_events(log, "full", 1)) == [2]
 
