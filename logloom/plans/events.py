@@ -267,10 +267,15 @@ def ingest_defaults(spark, sf_dir):
     return enrich.stamp(ready, AS_OF).drop("event_type")
 
 
-@query("random_ids", "P1 P2 E11")
+@query("random_ids", "P1 P2 E11", f"""with {LOG_EVENTS_SQL}
+    select level, count(*) as rows, count(*) as ids, count(*) as traces, count(*) as well_formed from log_events group by level""")
 def random_ids(spark, sf_dir):
+    """The ids are random; that they are all there, different and of the right form is not."""
     rows = log_events(spark, sf_dir).select(F.lit(None).cast("string").alias("id"), "level")
-    return enrich.fill_trace_id(enrich.fill_id(rows))
+    form = r"^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
+    return enrich.fill_trace_id(enrich.fill_id(rows)).groupBy("level").agg(
+        F.count("*").alias("rows"), F.countDistinct("id").alias("ids"), F.countDistinct("trace_id").alias("traces"),
+        F.count_if(F.col("id").rlike(form) & F.col("trace_id").rlike(form)).alias("well_formed"))
 
 
 @query("decode_traced", "S3 S12 Q9 E13", f"""with {LOG_EVENTS_SQL}

@@ -17,7 +17,7 @@ from ..operators.stats import count_by
 from ..session import shared_dir
 from ..sinks import rotation, tiers, warm
 from .catalog import query
-from .inputs import AS_OF, LOG_EVENTS_SQL, events, log_events
+from .inputs import AS_OF, LOG_EVENTS_SQL, events, log_events, with_metadata
 
 _EVENT = ["id", "level", "message", "timestamp"]
 
@@ -236,6 +236,32 @@ def retention_table(spark, sf_dir):
     return spark.read.parquet(f"{base}/warm").select("id", "timestamp")
 
 
+@query("metadata_table", "K9 K17 K18", f"""with {LOG_EVENTS_SQL}
+    select id as log_event_id, m.key, m.value from log_events,
+      lateral (select 'user_id' as key, cast(user_id as varchar) as value union all select 'k', json_extract_string(props, '$.k')) as m
+    where "timestamp" >= timestamp '{AS_OF}' - interval 255 hour""")
+def metadata_table(spark, sf_dir):
+    """Metadata rows stored beside their events, after retention of both."""
+    base, rows = _folder(spark), with_metadata(spark, sf_dir).select("id", "timestamp", "metadata")
+    warm.append_events(rows.drop("metadata"), f"{base}/warm")
+    for number in (0, 1):
+        warm.append_metadata(rows.filter(F.col("id") % 2 == number), f"{base}/metadata", number)
+    warm.apply_retention(spark, f"{base}/warm", as_datetime(AS_OF) - timedelta(hours=15), days=10, children=f"{base}/metadata")
+    return spark.read.parquet(f"{base}/metadata").select("log_event_id", "key", "value")
+
+
+@query("journal_table", "K15", f"""
+    select event_id as id, event_type as kind from events""")
+def journal_table(spark, sf_dir):
+    """The journal as written in two batches, the second one twice, and read back."""
+    base = _folder(spark)
+    rows = events(spark, sf_dir).select(F.col("event_id").alias("id"), F.col("event_type").alias("kind"))
+    for number in (0, 1, 1):
+        tiers.append_journal(rows.filter(F.col("id") % 2 == number), f"{base}/journal", AS_OF, number)
+    found = spark.read.text(f"{base}/journal").select(F.from_json("value", "id bigint, kind string").alias("line"))
+    return found.select("line.id", "line.kind")
+
+
 @query("pages_walked", "O1 O2", f"""with {LOG_EVENTS_SQL}
     select organization_id, cast(count(*) as bigint) as rows, cast(sum(id) as bigint) as ids from log_events where id % 97 = 0 group by 1""")
 def pages_walked(spark, sf_dir):

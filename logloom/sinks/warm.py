@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.json_codec import encode
 from ..functions.time import Moment, as_datetime, epoch_seconds, moment
 from ..operators.filters import EPOCH
+from ..operators.joins import cascade
 from ..operators.latest import upsert
 from ..session import settle, settled_here
 from .layout import (day_folder, drop_partitions, on_days, replace_partitions, table_exists, with_day,
@@ -102,28 +103,39 @@ def retained(events: DataFrame, as_of: Moment, days: int = RETENTION_DAYS, ts: s
     return events.filter(F.col(ts).isNull() | (F.col(ts) >= limit))
 
 
-def apply_retention(spark: SparkSession, path: str, as_of: Moment, days: int = RETENTION_DAYS) -> int:
+def apply_retention(spark: SparkSession, path: str, as_of: Moment, days: int = RETENTION_DAYS,
+                    children: str | None = None, key: str = "id") -> int:
     """Delete expired events and return their number.
 
     Days that are over as a whole are dropped as folders. Only the day the limit falls
-    into is rewritten.
+    into is rewritten. ``children`` names the metadata table: its whole days go with those of the
+    events, and on the edge day the rows whose event has gone.
     """
     limit = as_datetime(as_of) - timedelta(days=days)
     stored = spark.read.parquet(path)
-    old_days = stored.filter(F.col("date") <= F.lit(limit.date()))
-    deleted = expired(old_days, as_of, days).count()
+    deleted = expired(stored.filter(F.col("date") <= F.lit(limit.date())), as_of, days).count()
     if not deleted:
         return 0
-    past = old_days.filter(F.col("date") < F.lit(limit.date())).select("date").distinct()
+    with settled_here(spark):
+        kept = settle(retained(stored.filter(F.col("date") == F.lit(limit.date())), as_of, days))
+        if children is not None and table_exists(spark, children):
+            rows = spark.read.parquet(children)
+            own = rows.filter(F.col("date") == F.lit(limit.date()))
+            _keep_days(spark, children, limit, settle(cascade(own, kept, key)), [])
+        _keep_days(spark, path, limit, kept, ["timestamp"])
+    return deleted
+
+
+def _keep_days(spark: SparkSession, path: str, limit: datetime, kept: DataFrame, within: list[str]) -> None:
+    """Leave of the days before ``limit`` nothing and of its own day the ``kept`` rows."""
+    stored = spark.read.parquet(path)
+    past = stored.filter(F.col("date") < F.lit(limit.date())).select("date").distinct()
     gone = [day_folder(row["date"]) for row in past.collect()]
     # A day holds one folder per batch if it was written in batches; each is replaced or goes.
     columns = [c for c in ("date", "batch") if c in stored.columns]
     last_day = stored.filter(F.col("date") == F.lit(limit.date()))
-    with settled_here(spark):
-        kept = settle(retained(last_day, as_of, days))
-        emptied = last_day.select(columns).distinct().join(kept.select(columns).distinct(), columns, "left_anti")
-        gone += ["/".join(f"{c}={row[c]}" for c in columns) for row in emptied.collect()]
-        if not kept.isEmpty():
-            _replace_days(kept, path, columns)
+    emptied = last_day.select(columns).distinct().join(kept.select(columns).distinct(), columns, "left_anti")
+    gone += ["/".join(f"{c}={row[c]}" for c in columns) for row in emptied.collect()]
+    if not kept.isEmpty():
+        replace_partitions(kept, path, columns, within=within, **_lookup_options(kept))
     drop_partitions(spark, path, gone)
-    return deleted

@@ -14,6 +14,8 @@ from ..functions.time import Moment, before, moment
 # Which files are logs, and how long a committed offset is remembered.
 LOG_PATTERN = "*.log"
 OFFSET_HOURS = 24
+# Fixed value: bytes of a UTF-8 byte-order mark.
+MARK_BYTES = 3
 
 PLACED = ("file_path string, block_start bigint, file_size bigint, modified timestamp, "
           "content string, byte_length bigint, in_block bigint")
@@ -64,12 +66,6 @@ def _offsets_in_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             [*[batch.column(n) for n in kept], pa.array(position, pa.int64())], [*kept, "in_block"])
 
 
-def _never_split(spark: SparkSession) -> int:
-    """Files up to this size are always read in one piece."""
-    conf = spark._jsparkSession.sessionState().conf()
-    return min(conf.filesMaxPartitionBytes(), conf.filesOpenCostInBytes())
-
-
 def read_placed_lines(spark: SparkSession, where: str | list[str], pattern: str = LOG_PATTERN,
                       modified_after: Moment | None = None) -> DataFrame:
     """Lines with ``file_offset``, the byte at which each starts, and the size of their file.
@@ -91,21 +87,22 @@ def read_placed_lines(spark: SparkSession, where: str | list[str], pattern: str
         F.col("value").alias("content"),
         F.octet_length("value").cast("bigint").alias("byte_length"),
     )
-    # Only files that may be split need the sums; the others are skipped by their listing entry.
-    split_files = blocks.filter(F.col("file_size") > _never_split(spark))
-    bytes_per_block = split_files.groupBy("file_path", "block_start").agg(
+    bytes_per_block = blocks.groupBy("file_path", "file_size", "block_start").agg(
         F.sum(F.col("byte_length") + 1).alias("_bytes"))
-    earlier = W.partitionBy("file_path").orderBy("block_start").rowsBetween(W.unboundedPreceding, -1)
+    of_file = W.partitionBy("file_path")
+    earlier = of_file.orderBy("block_start").rowsBetween(W.unboundedPreceding, -1)
+    # The reader skips a byte-order mark; its bytes are what lines and line ends leave of the file.
+    unread = F.col("file_size") - F.sum("_bytes").over(of_file)
+    mark = F.when(unread >= MARK_BYTES - 1, F.lit(MARK_BYTES)).otherwise(F.lit(0))
     starts = bytes_per_block.select(
         F.col("file_path").alias("_path"), F.col("block_start").alias("_start"),
-        F.coalesce(F.sum("_bytes").over(earlier), F.lit(0)).alias("_before"))
+        (F.coalesce(F.sum("_bytes").over(earlier), F.lit(0)) + mark).alias("_before"))
     marked = blocks.withColumn("block", F.xxhash64("file_path", "block_start"))
     placed = marked.mapInArrow(_offsets_in_block, PLACED)
     joined = placed.join(
         starts, (placed["file_path"] == starts["_path"]) & (placed["block_start"] == starts["_start"]), "left")
     # Both scans must have cut the files alike; if not, stop instead of losing lines.
-    start = F.when(F.col("block_start") == 0, F.lit(0)).otherwise(F.coalesce(
-        F.col("_before"), F.raise_error(F.lit("file splits changed between two scans; run again"))))
+    start = F.coalesce(F.col("_before"), F.raise_error(F.lit("file splits changed between two scans; run again")))
     lines = joined.select(
         "file_path", _without_return(F.col("content")).alias("content"),
         (start + F.col("in_block")).alias("file_offset"), "byte_length", "file_size", "modified")
@@ -141,9 +138,14 @@ def after_offsets(lines: DataFrame, offsets: DataFrame) -> DataFrame:
     return joined.filter(F.col("file_offset") + F.col("byte_length") > covered).drop("_path", "_committed")
 
 
-def commit_rows(sizes: DataFrame, as_of: Moment) -> DataFrame:
-    """Rows to append to the commit table after a round: every file is covered up to its size."""
-    return sizes.select("file_path", F.col("file_size").alias("committed_offset"), moment(as_of).alias("committed_at"))
+def commit_rows(lines: DataFrame, as_of: Moment) -> DataFrame:
+    """Rows to append to the commit table after a round: every file is covered up to the end of the last of the ``lines`` read.
+
+    Bytes that came after the read are not covered, so the next round finds them. Settle the lines first, so that
+    what is stored and what is committed are one reading.
+    """
+    ends = lines.groupBy("file_path").agg(F.max(F.col("file_offset") + F.col("byte_length")).alias("committed_offset"))
+    return ends.select("file_path", "committed_offset", moment(as_of).alias("committed_at"))
 
 
 def stream_lines(spark: SparkSession, where: str | list[str], pattern: str = LOG_PATTERN,

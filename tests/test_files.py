@@ -86,8 +86,7 @@ class Tail:
         lines = files.read_placed_lines(self.spark, self.where)
         new = files.after_offsets(lines, files.current_offsets(self.commits, as_of))
         out = sorted((r["file_offset"], r["content"]) for r in new.collect())
-        sizes = lines.select("file_path", "file_size").distinct()
-        rows = self.commits.unionByName(files.commit_rows(sizes, as_of)).collect()
+        rows = self.commits.unionByName(files.commit_rows(lines, as_of)).collect()
         self.commits = self.spark.createDataFrame(rows, self.commits.schema)
         return [text for _, text in out]
 
@@ -119,6 +118,26 @@ def test_tail_starts_over_after_a_replaced_file_and_after_a_day(spark, tmp_path)
     assert tail.round("2024-06-03 11:00:00") == ["new"]  # the commit has expired
 
 
+def test_a_byte_order_mark_counts(spark, tmp_path):
+    log = tmp_path / "app.log"
+    tail = Tail(spark, tmp_path)
+    for data, new in ((b"\xef\xbb\xbfab\ncd\n", ["ab", "cd"]), (b"\xef\xbb\xbfab\ncd\nx\n", ["x"]), (b"\xef\xbb\xbfab\ncd\nx\ny", ["y"])):
+        log.write_bytes(data)
+        assert tail.round("2024-06-01 10:00:00") == new
+    rows = files.read_placed_lines(spark, str(tmp_path)).collect()
+    assert sorted((r["file_offset"], r["content"]) for r in rows) == [(3, "ab"), (6, "cd"), (9, "x"), (11, "y")]
+
+
+def test_a_line_that_comes_after_the_read_is_not_covered(spark, tmp_path):
+    log = tmp_path / "app.log"
+    log.write_bytes(b"one\n")
+    read = spark.createDataFrame(files.read_placed_lines(spark, str(tmp_path)).collect())
+    log.write_bytes(b"one\ntwo\n")
+    covered = files.commit_rows(read, AS_OF)
+    again = files.after_offsets(files.read_placed_lines(spark, str(tmp_path)), files.current_offsets(covered, "2024-05-10 01:00:00"))
+    assert [r["content"] for r in again.collect()] == ["two"]
+
+
 def test_modified_after_skips_files(spark, tmp_path):
     (tmp_path / "a.log").write_bytes(b"x\n")
     assert files.read_placed_lines(spark, str(tmp_path), modified_after="2000-01-01").count() == 1
