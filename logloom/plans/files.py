@@ -10,6 +10,7 @@ from ..operators import enrich, parse
 from ..operators.frames import running_sum_before
 from ..session import shared_dir
 from ..sources import files
+from ..sources.collector import collect_round
 from .catalog import query
 from .inputs import AS_OF, FILE_LINES_SQL, LEVEL_CASE, SOURCE_CASE, events, file_lines
 
@@ -82,6 +83,18 @@ def collect_files(spark, sf_dir):
     return found.select("content", (F.col("file_offset") + F.col("byte_length") < F.col("file_size")).alias("inside"))
 
 
+@query("collect_rounds", "S6 S7 S8 P8 T1 K3", f"with {FILE_LINES_SQL} select content, count(*) as rows from (select distinct content from file_lines) group by content")
+def collect_rounds(spark, sf_dir):
+    """Three rounds: some files, the same ones grown by a copy of their lines and new files, and nothing new."""
+    base = f"{shared_dir(spark)}/logloom-runs/{uuid.uuid4().hex}"
+    lines = file_lines(spark, sf_dir).select("content", (F.col("event_id") % 3).alias("side"))
+    for number, part in enumerate((lines.filter("side = 0"), lines.filter("side <= 1"), lines.filter("side = 2"), lines.limit(0))):
+        part.write.mode("append").partitionBy("side").text(f"{base}/logs")
+        collect_round(spark, f"{base}/logs", f"{base}/store", f"2024-01-30 00:0{number}:00", "*.txt")
+    stored = spark.read.parquet(f"{base}/store/events")
+    return stored.groupBy("content").agg(F.count("*").alias("rows"))
+
+
 @query("drop_blank_lines", "F18", "select event_id, event_type as value from events where event_id % 3 <> 0")
 def drop_blank_lines(spark, sf_dir):
     value = F.when(F.col("event_id") % 6 == 0, " \t").when(F.col("event_id") % 3 == 0, "").otherwise(F.col("event_type"))

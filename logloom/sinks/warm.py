@@ -48,11 +48,12 @@ def append_metadata(events: DataFrame, path: str, batch_id: int | None = None, k
 
 
 def upsert_events(batch: DataFrame, path: str, key: str = "id", version: str = "processed_at",
-                  days_can_change: bool = True, arrival: str | None = None, rejects: str | None = None) -> None:
+                  days_can_change: bool = True, arrival: str | None = None, rejects: str | None = None,
+                  batch_id: int | None = None) -> None:
     """Store a batch by id: last write wins, and storing a batch twice changes nothing.
 
     ``arrival`` names a column that orders writes of one version. Rows without id cannot be stored by id: they go to
-    the dead-letter folder ``rejects``, or the batch is refused. Only the days the batch touches are
+    the dead-letter folder ``rejects``, once for a ``batch_id``, or the batch is refused. Only the days the batch touches are
     rewritten; in a table that was appended in batches, they become one batch each. An event whose day changed also
     touches its old day; if that cannot happen (a redelivered event keeps its time),
     ``days_can_change=False`` saves the search for old days.
@@ -65,7 +66,7 @@ def upsert_events(batch: DataFrame, path: str, key: str = "id", version: str = "
             if rejects is None:
                 raise ValueError(f"rows without {key}; name a folder for rejects")
             shown = encode(*batch.columns).alias("raw_log")
-            append_letters(nameless.select(shown, F.lit(f"no {key}").alias("failure_reason"), "timestamp"), rejects)
+            append_letters(nameless.select(shown, F.lit(f"no {key}").alias("failure_reason"), "timestamp"), rejects, batch_id)
             incoming = incoming.filter(F.col(key).isNotNull())
         if not table_exists(spark, path):
             _replace_days(upsert(incoming.limit(0), incoming, key, version, arrival), path)

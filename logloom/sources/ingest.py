@@ -36,7 +36,10 @@ def split_decoded(decoded: DataFrame, as_of: Moment) -> Decoded:
 def ingest(records: DataFrame, schema: T.StructType, as_of: Moment, value: str = "value",
            id_from: list[str] | None = None) -> Decoded:
     """Records to storable events: ids, trace ids and times filled in, processing time stamped."""
-    decoded = split_decoded(decode_events(records, schema, value), as_of)
+    return ingested(split_decoded(decode_events(records, schema, value), as_of), as_of, id_from)
+
+
+def ingested(decoded: Decoded, as_of: Moment, id_from: list[str] | None = None) -> Decoded:
     return Decoded(stamp(prepare_events(decoded.events, as_of, id_from), as_of), decoded.dead)
 
 

@@ -15,13 +15,14 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions.time import Moment
 from ..operators.dedup import REPEAT_SECONDS, drop_seen, remember
+from ..operators.filters import error_events
 from ..operators.parse import dead_letters, parse_access_lines, parsed_only
 from ..session import settle, settled_here
 from ..sinks.layout import drop_partitions, table_exists, with_day, write_partitions
 from ..sinks.letters import append_letters
 from ..sinks.tiers import store_batch
 from ..sinks.warm import upsert_events
-from ..sources.ingest import ingest
+from ..sources.ingest import decode_access_logs, decode_events, ingested, split_decoded
 
 Clock = Callable[[], Moment]
 
@@ -58,19 +59,36 @@ def tier_stream(records: DataFrame, schema: T.StructType, base: str, checkpoint:
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         now = clock()
-        decoded = ingest(batch, schema, now, id_from=id_from)
-        store_batch(decoded.events, base, now, batch_id)
-        append_letters(decoded.dead, f"{base}/dlq", batch_id)
+        decoded = decode_events(batch, schema).persist()  # read and decoded once for all four writes
+        try:
+            ready = ingested(split_decoded(decoded, now), now, id_from)
+            store_batch(ready.events, base, now, batch_id)
+            append_letters(ready.dead, f"{base}/dlq", batch_id)
+        finally:
+            decoded.unpersist()
+
+    return _each_batch(records, handle, checkpoint, every).start()
+
+
+def access_stream(records: DataFrame, base: str, checkpoint: str, clock: Clock = wall_clock,
+                  keep: list[str] | None = None, every: str | None = None) -> StreamingQuery:
+    """Parsed access records, as JSON, to the day partitions of ``base/access``."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write_partitions(with_day(decode_access_logs(batch, clock(), keep=keep)), f"{base}/access", ["date"], batch_id=batch_id)
 
     return _each_batch(records, handle, checkpoint, every).start()
 
 
 def upsert_stream(events: DataFrame, path: str, checkpoint: str, key: str = "id",
-                  version: str = "processed_at", every: str | None = None) -> StreamingQuery:
-    """Events to the warm table by id."""
+                  version: str = "processed_at", every: str | None = None, arrival: str | None = None,
+                  days_can_change: bool = True, alerts: str | None = None) -> StreamingQuery:
+    """Events to the warm table by id; those without id to ``path`` + ``_rejects``, errors also to the folder ``alerts``."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        upsert_events(batch, path, key, version)
+        upsert_events(batch, path, key, version, days_can_change, arrival, f"{path}_rejects", batch_id)
+        if alerts is not None:
+            write_partitions(with_day(error_events(batch)), alerts, ["date"], batch_id=batch_id)
 
     return _each_batch(events, handle, checkpoint, every).start()
 
