@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Bytes of text in one slice, unless a single text is longer.
 SLICE_BYTES = 2 << 20
@@ -20,6 +21,16 @@ def pick(docs: DataFrame, *names: str) -> DataFrame:
     return docs.select(*(docs[name] for name in names))
 
 
+#: Ids that are sent to all executors; a larger set is joined by a shuffle.
+IDS_SENT = 500_000
+
+
+def rows_by_id(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """``docs`` joined with the distinct ``ids`` (doc_id); texts are only shuffled for more than ``IDS_SENT`` ids."""
+    few = ids.limit(IDS_SENT + 1).count() <= IDS_SENT
+    return docs.join(F.broadcast(ids) if few else ids.hint("shuffle_merge"), "doc_id", how)
+
+
 def sliced(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``most`` bytes of ``column``, or of one row."""
     for batch in batches:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from logloom.session import settle
 
-from .blocks import flat_of, map_slices, pick
+from .blocks import flat_of, map_slices, pick, rows_by_id
 from .components import components
 from .fast_sketch import band_keys, marks_of, sketches
 from .shingles import digest_of, shingle_sets
@@ -54,14 +54,16 @@ def sketched(docs: DataFrame) -> DataFrame:
                       "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, keys array<bigint>, marks binary")
 
 
-def full_sets(docs: DataFrame, column: str) -> DataFrame:
-    """``column`` (the document's id) and its shingles, for the pairs to be verified."""
+def full_sets(docs: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """``column`` (the document's id) and its shingles for the settled, distinct ``ids`` (doc_id); one row for rows that repeat."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = [s.view(np.int64) for s in shingle_sets(flat_of(batch))]
         return pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(sets, pa.list_(pa.int64()))], [column, "shingles"])
 
-    return map_slices(pick(docs, "doc_id", "text"), work, f"{column} bigint, shingles array<bigint>")
+    texts = rows_by_id(docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"]), ids, "left_semi")
+    found = map_slices(texts, work, f"{column} bigint, shingles array<bigint>")
+    return found.groupBy(column).agg(F.max("shingles").alias("shingles"))
 
 
 def _marks(column: pa.Array) -> np.ndarray:
@@ -92,8 +94,8 @@ class _Links:
         one = self.classes.select(F.col("class_id").alias("a"), F.col("marks").alias("marks_a"))
         two = self.classes.select(F.col("class_id").alias("b"), F.col("marks").alias("marks_b"))
         close = settle(_agreeing(pairs.join(one, "a").join(two, "b")))
-        wanted = close.select("a").union(close.select("b")).distinct().withColumnRenamed("a", "doc_id")
-        sets = settle(full_sets(self.docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "doc_id"))
+        wanted = settle(close.select("a").union(close.select("b")).distinct().withColumnRenamed("a", "doc_id"))
+        sets = settle(full_sets(self.docs, wanted, "doc_id"))
         one = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
         two = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
         common = F.size(F.array_intersect("set_a", "set_b"))
@@ -157,9 +159,8 @@ def _all_left(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFra
     largest = sizes.groupBy("key").agg(F.max(F.struct("own", "component")).alias("top")).select("key", F.col("top.component").alias("largest"))
     members = settle(groups.join(largest, "key").select("largest", "class_id", "size", "component").distinct())
     counts = members.where("component <> largest").groupBy("largest").agg(F.expr(f"cast(ceil(count(*) / {PART}) as int)").alias("parts"))
-    wanted = members.select(F.col("class_id").alias("doc_id")).distinct()
-    sets = full_sets(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "class_id")
-    known = settle(classes.select("class_id", "marks").join(sets, "class_id"))
+    wanted = settle(members.select(F.col("class_id").alias("doc_id")).distinct())
+    known = settle(classes.select("class_id", "marks").join(full_sets(docs, wanted, "class_id"), "class_id"))
     place = F.expr("""explode(concat(
         if(component <> largest, array(struct(cast(pmod(xxhash64(class_id), parts) as int) as part, false as passing)), array()),
         transform(sequence(0, parts - 1), part -> struct(part, true as passing)))) as place""")
@@ -255,5 +256,5 @@ def near_classes(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that :func:`near_classes` does not keep; all columns stay."""
-    dropped = near_classes(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    dropped = settle(near_classes(docs).where("not kept").select("doc_id").distinct())
+    return rows_by_id(docs, dropped, "left_anti").select(*docs.columns)
