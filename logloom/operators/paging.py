@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from .filters import search, select_events
 
@@ -68,6 +69,15 @@ def page_after(df: DataFrame, after: tuple[object, object] | None = None, size:
     return df.orderBy(*order).limit(size)
 
 
+def walk(df: DataFrame, size: int = EVENT_PAGE_SIZE, sort_by: str = "timestamp", direction: str = "desc",
+         tie: str = "id") -> Iterator[list[Row]]:
+    """All pages of ``df`` in order, each fetched after the last row of the page before; the caller holds one page."""
+    after = None
+    while rows := page_after(df, after, size, sort_by, direction, tie).collect():
+        yield rows
+        after = (rows[-1][sort_by], rows[-1][tie])
+
+
 def total_of(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("total"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import uuid
+from collections import Counter
 from datetime import timedelta
 
 from pyspark.sql import functions as F
@@ -12,14 +13,16 @@ from ..functions.text import size_in_bytes
 from ..functions.time import as_datetime, moment
 from ..operators import joins
 from ..operators.latest import upsert
-from ..operators.paging import page_after
+from ..operators.paging import page_after, walk
 from ..operators.stats import count_by
-from ..session import shared_dir
+from ..session import settle, settled_here, shared_dir
 from ..sinks import rotation, tiers, warm
 from .catalog import query
 from .inputs import AS_OF, LOG_EVENTS_SQL, events, log_events, with_metadata
 
 _EVENT = ["id", "level", "message", "timestamp"]
+#: Rows of a page where the whole log is walked; the number of pages grows with the log.
+_WALK_SIZE = 500
 
 
 def _versions(spark, sf_dir):
@@ -278,3 +281,21 @@ def pages_walked(spark, sf_dir):
         after = tuple(last)
     return functools.reduce(lambda a, b: a.unionByName(b), pages).groupBy("organization_id").agg(
         F.count("*").alias("rows"), F.sum("id").alias("ids"))
+
+
+@query("pages_walked_all", "O1 O2", f"""with {LOG_EVENTS_SQL},
+    thin as (select id, organization_id, case when id % 2 = 0 then level end as level from log_events)
+    select organization_id, level, cast(count(*) as bigint) as rows, cast(sum(id) as bigint) as ids from thin group by 1, 2""")
+def pages_walked_all(spark, sf_dir):
+    """All rows of the log, page by page by a level that half of them lack; each row is on one page."""
+    rows, ids = Counter(), Counter()
+    with settled_here(spark):
+        thin = settle(log_events(spark, sf_dir).select(
+            "id", "organization_id", F.when(F.col("id") % 2 == 0, F.col("level")).alias("level")))
+        for page in walk(thin, _WALK_SIZE, "level", "asc"):
+            for row in page:
+                key = (row.organization_id, row.level)
+                rows[key] += 1
+                ids[key] += row.id
+    found = [(*key, count, ids[key]) for key, count in rows.items()]
+    return spark.createDataFrame(found, "organization_id string, level string, rows bigint, ids bigint")

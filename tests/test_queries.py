@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as driver
 from logloom.functions import text
 from logloom.operators import enrich, filters, joins, latest, paging, rolling, stats
 
@@ -75,6 +76,30 @@ def test_pages(log):
     assert ids(paging.search_events(log, "full", 1)) == [2]
 
 
+def test_walk_holds_every_row_once_and_in_order(spark):
+    """A hot level, ties of the sort column and a block without a level that each span many pages."""
+    data = [(k * 7919 % 503, None if k % 3 == 0 else "HOT" if k % 5 else f"L{k % 4}") for k in range(503)]
+    table = spark.createDataFrame(data, "id bigint, level string").repartition(5).cache()
+    for direction in ("asc", "desc"):
+        known = sorted((r for r in data if r[1] is not None), key=lambda r: r[0])
+        known.sort(key=lambda r: r[1], reverse=direction == "desc")
+        unknown = sorted(r for r in data if r[1] is None)
+        expected = unknown + known if direction == "asc" else known + unknown
+        for size in (61, 503):
+            pages = list(paging.walk(table, size, "level", direction))
+            assert [tuple(r) for page in pages for r in page] == expected
+            assert [len(page) for page in pages] == [size] * (503 // size) + ([503 % size] if 503 % size else [])
+    assert list(paging.walk(table.limit(0), 5, "level")) == []
+
+
+def test_registered_walk_reads_the_whole_log(spark):
+    found = driver.queries()["pages_walked_all"](spark, "/root/testdata/sf0.001").collect()
+    log = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    assert sum(r.rows for r in found) == log.count()
+    assert sum(r.ids for r in found) == log.agg({"event_id": "sum"}).first()[0]
+    assert sum(r.rows for r in found if r.level is None) == log.where("event_id % 2 != 0").count()
+
+
 def test_page_arguments_are_checked(log):
     for bad in ({"sort_by": "nope"}, {"direction": "sideways"}, {"page": -1}, {"size": 0}):
         with pytest.raises(ValueError):
