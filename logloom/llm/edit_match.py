@@ -1,7 +1,8 @@
 """Benchmark decontamination: test items found in documents within a budget of edits.
 
-An item is compared as lower-case words with single spaces. Items of two or more units of ``UNIT`` characters are cut into units,
-so a leaked part is found as well. A unit of ``m`` characters may differ by ``m // PER_EDIT`` edits. It is split into one
+An item is compared as lower-case words with single spaces. Items of two or more units of ``UNIT`` characters are cut into units.
+Besides, every ``STRIDE`` characters a shorter unit of ``SPAN`` begins, so that any unchanged part of ``SURE`` characters holds a
+whole unit and is found. A unit of ``m`` characters may differ by ``m // PER_EDIT`` edits. It is split into one
 piece more than that: by the pigeonhole principle one piece of any occurrence is unchanged. All pieces make one
 Aho-Corasick automaton that reads each document once; around each piece hit Myers' bit-parallel algorithm
 computes the edit distance of the unit to the best stretch of text.
@@ -22,6 +23,9 @@ from .blocks import map_slices, pick, texts_of
 
 #: Characters of a unit at least, and characters that allow one edit.
 UNIT, PER_EDIT = 80, 12
+#: Characters of the overlapping units, and from one's begin to the next; a part of an item of ``SURE`` characters holds one.
+SPAN, STRIDE = 59, 30
+SURE = SPAN + STRIDE - 1
 #: A shorter item only counts where it is the whole document.
 LEAST = 24
 #: Bytes of test items that one pass over the documents holds.
@@ -47,11 +51,14 @@ class Unit:
 
 
 def units_of(item_id: int, text: str | None) -> Iterator[Unit]:
-    """The item, or its consecutive parts of ``UNIT`` to twice as many characters; none for an item without words."""
+    """The item, or its consecutive parts of ``UNIT`` to twice as many characters, and its overlapping parts of ``SPAN``; none for an item without words."""
     text = plain(text or "")
     parts = max(1, len(text) // UNIT)
     cuts = [len(text) * k // parts for k in range(parts + 1)]
-    for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+    spans = list(zip(cuts[:-1], cuts[1:], strict=True))
+    if len(text) > SPAN:
+        spans += [(begin, begin + SPAN) for begin in (*range(0, len(text) - SPAN, STRIDE), len(text) - SPAN)]
+    for begin, end in spans:
         if part := text[begin:end].strip():
             yield Unit(item_id, part, len(text) < LEAST)
 

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from logloom.llm import edit_match, licenses, secrets
@@ -152,6 +153,22 @@ def test_search_against_the_full_table():
         assert {k: m[0] for k, m in searcher.found(text).items()} == expected
 
 
+def test_any_excerpt_above_the_stated_length_is_found():
+    items = [(r.item_id, r.text) for r in pd.read_parquet("/root/testdata/sf0.001/benchmark.parquet").itertuples()]
+    searcher = edit_match.Searcher([u for item in items for u in edit_match.units_of(*item)])
+    sure, tried = edit_match.SURE, 0
+    assert sure <= 88
+    for item_id, text in items:
+        text = edit_match.plain(text)
+        for begin in range(0, max(0, len(text) - sure + 1), 5):
+            found = searcher.found(f"one two thrice{text[begin : begin + sure]}other words around it")
+            assert found[item_id][0] == 0
+            tried += 1
+    assert tried > 500
+    text = "".join(chr(97 + (k * k + k // 7) % 26) for k in range(sure))
+    assert all(text[a : a + edit_match.SPAN] in {u.text for u in edit_match.units_of(1, text)} for a in (0, len(text) - edit_match.SPAN))
+
+
 def test_leaks_and_what_is_left(spark):
     item = "The quick onerbleretion of the thonthwh was, in all, a story of antion and of edhash and of many words more"
     docs = [(1, "x y " + item.upper() + " z", "k"), (2, "nothing of the kind", "k"), (3, None, "k"), (4, "", "k"), (None, item, "k"), (5, "yes", "k"), (6, "yes and no", "k"),
