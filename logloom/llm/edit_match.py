@@ -11,6 +11,8 @@ computes the edit distance of the unit to the best stretch of text.
 from __future__ import annotations
 
 import hashlib
+import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,31 +28,50 @@ UNIT, PER_EDIT = 80, 12
 #: Characters of the overlapping units, and from one's begin to the next; a part of an item of ``SURE`` characters holds one.
 SPAN, STRIDE = 59, 30
 SURE = SPAN + STRIDE - 1
-#: A shorter item only counts where it is the whole document.
-LEAST = 24
+#: A shorter item has no edits and counts where it stands on word boundaries, and one of fewer than ``LEAST_WORDS`` words
+#: only where it is the whole document. Two characters of a script without spaces are a word.
+LEAST, LEAST_WORDS = 24, 3
 #: Bytes of test items that one pass over the documents holds.
 BLOCK_BYTES = 8 << 20
 
 _APART = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
+#: Thai, Lao, Tibetan, Burmese, Khmer; Japanese and Chinese; Korean, where endings join the words.
+_UNSPACED = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff]")
+
+
 def plain(text: str) -> str:
     """Lower case, with single spaces for all that is in ASCII no letter and no digit."""
     return b" ".join(text.lower().encode("utf-8", "replace").translate(_APART).split()).decode()
 
 
+def words_in(text: str) -> int:
+    """Words of a plain text; two characters of a script without spaces count as one."""
+    return len(_UNSPACED.sub(" ", text).split()) + len(_UNSPACED.findall(text)) // 2
+
+
+def joined(text: str, at: int) -> bool:
+    """Whether the characters before and at ``at`` are of one word."""
+    if not 0 < at < len(text):
+        return False
+    pair = text[at - 1 : at + 1]
+    return not _UNSPACED.search(pair) and all(unicodedata.category(char)[0] in "LMN" for char in pair)
+
+
 @dataclass(frozen=True)
 class Unit:
-    item_id: int
+    item_id: int | None
     text: str
     whole: bool
+    exact: bool = False
 
     @property
     def edits(self) -> int:
-        return 0 if self.whole else len(self.text) // PER_EDIT
+        return 0 if self.whole or self.exact else len(self.text) // PER_EDIT
 
 
-def units_of(item_id: int, text: str | None) -> Iterator[Unit]:
+def units_of(item_id: int | None, text: str | None) -> Iterator[Unit]:
     """The item, or its consecutive parts of ``UNIT`` to twice as many characters, and its overlapping parts of ``SPAN``; none for an item without words."""
     text = plain(text or "")
     parts = max(1, len(text) // UNIT)
@@ -60,7 +81,8 @@ def units_of(item_id: int, text: str | None) -> Iterator[Unit]:
         spans += [(begin, begin + SPAN) for begin in (*range(0, len(text) - SPAN, STRIDE), len(text) - SPAN)]
     for begin, end in spans:
         if part := text[begin:end].strip():
-            yield Unit(item_id, part, len(text) < LEAST)
+            short, whole = len(text) < LEAST, words_in(text) < LEAST_WORDS
+            yield Unit(item_id, part, short and whole, short and not whole)
 
 
 def pieces_of(unit: Unit) -> Iterator[tuple[int, str]]:
@@ -123,6 +145,12 @@ class Searcher:
                     if text == unit.text:
                         best[unit.item_id] = (0, 0, text.count(" "))
                     continue
+                if unit.exact:
+                    first, stop = end + 1 - size, end + 1
+                    if not joined(text, first) and not joined(text, stop):
+                        match = (0, text.count(" ", 0, first), text.count(" ", 0, stop))
+                        best[unit.item_id] = min(best.get(unit.item_id, match), match)
+                    continue
                 # stretches that begin within the budget of this diagonal; neighbouring diagonals share a window
                 room = unit.edits
                 start = end + 1 - size - begin
@@ -155,7 +183,7 @@ def searcher_of(units: list[Unit]) -> Searcher:
 
 
 def item_blocks(items: DataFrame) -> Iterator[list[Unit]]:
-    """The units of all items (item_id, text), in blocks that a worker can hold."""
+    """The units of all items (item_id, text), those without id too, in blocks that a worker can hold."""
     items = pick(items, "item_id", "text").where("text is not null").distinct()
     sized = items.withColumn("bytes", F.octet_length("text").cast("bigint"))
     blocks = max(1, -(-(sized.agg(F.sum("bytes")).first()[0] or 0) // BLOCK_BYTES))
@@ -167,7 +195,7 @@ def item_blocks(items: DataFrame) -> Iterator[list[Unit]]:
         blocks *= 2
     for block in range(blocks):
         rows = cut.where(F.col("block") == block).orderBy("item_id", "text").collect()
-        yield [unit for row in rows if row.item_id is not None for unit in units_of(row.item_id, row.text)]
+        yield [unit for row in rows for unit in units_of(row.item_id, row.text)]
 
 
 def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -178,7 +206,7 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     documents or no items there are no rows; other columns are not read.
     """
     result = None
-    for units in item_blocks(items):
+    for units in item_blocks(pick(items, "item_id", "text").where("item_id is not null")):
 
         def work(batch: pa.RecordBatch, units: list[Unit] = units) -> pa.RecordBatch:
             searcher = searcher_of(units)
@@ -194,7 +222,7 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the rows that hold a test item; all columns stay."""
+    """``docs`` without the rows that hold a test item, with or without id; all columns stay."""
     result = docs
     for units in item_blocks(items):
 

@@ -188,6 +188,17 @@ def test_leaks_and_what_is_left(spark):
     assert edit_match.leaks(table.limit(0), tests).count() == 0
 
 
+def test_short_items_inside_documents_and_items_without_id(spark):
+    items = [(1, "Who is Ada Byron?"), (2, "日本の首都はどこですか"), (3, "Yes!"), (None, "an item without an id that stands in a document"), (None, "Why 6 by 7?")]
+    docs = [(1, "Q: who is Ada  Byron, A: a countess"), (2, "who is ada byrons"), (3, "xwho is ada byron"), (4, "問い、日本の首都はどこですか。東京です"), (5, "日本の首都は東京です"),
+            (6, "well yes"), (7, "yes"), (8, "so: An item without an id that stands in a document!"), (9, "and why 6 by 7 there"), (10, "who is Ada Byronée")]
+    table = spark.createDataFrame(docs, DOCS)
+    tests = spark.createDataFrame(items, "item_id bigint, text string")
+    got = sorted(tuple(r) for r in edit_match.leaks(table, tests).collect())
+    assert got == [(1, 1, 0, 1, 4), (4, 2, 0, 0, 0), (7, 3, 0, 0, 0)]
+    assert sorted(r.doc_id for r in edit_match.without_leaks(table, tests).collect()) == [2, 3, 5, 6, 10]
+
+
 def test_items_in_many_blocks_give_the_same_leaks(spark, monkeypatch):
     docs, items = (spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet") for name in ("documents", "benchmark"))
     whole = sorted(tuple(r) for r in edit_match.leaks(docs, items).collect())
