@@ -11,39 +11,49 @@ def differenced(sizes: np.ndarray, ways: int) -> list[list[int]]:
     """The numbers' places in ``ways`` groups of nearly equal sums.
 
     Each number begins as a partial partition with one filled group. The two partial partitions with the largest
-    imbalance are merged, the fullest group of one with the emptiest of the other, until one is left.
+    imbalance are merged, the fullest group of one with the emptiest of the other, until one is left. Only filled
+    groups are kept, so memory grows with the numbers and not with numbers times ways.
     """
-    if ways == 1 or len(sizes) == 0:
-        return [list(range(len(sizes)))] + [[] for _ in range(ways - 1)]
-    left, right = np.full(len(sizes) * ways, -1, np.int64), np.full(len(sizes) * ways, -1, np.int64)
-    nodes = len(sizes)
-    partial = []
-    for k, size in enumerate(sizes):
-        sums, trees = np.zeros(ways, np.int64), np.full(ways, -1, np.int64)
-        sums[0], trees[0] = size, k
-        partial.append((-int(size), k, sums, trees))
-    heapq.heapify(partial)
-    while len(partial) > 1:
-        _, _, sums, trees = heapq.heappop(partial)
-        _, order, more, others = partial[0]
-        sums, others = sums + more[::-1], others[::-1]
-        both = (trees >= 0) & (others >= 0)
-        made = np.arange(nodes, nodes + both.sum())
-        left[made], right[made] = trees[both], others[both]
-        nodes += len(made)
-        trees = np.where(trees >= 0, trees, others)
-        trees[both] = made
+    count = len(sizes)
+    if ways == 1 or count == 0:
+        return [list(range(count))] + [[] for _ in range(ways - 1)]
+    left, right = np.full(count, -1, np.int64), np.full(count, -1, np.int64)
+    nodes = count
+    single, at = np.argsort(-sizes, kind="stable"), 0
+    merged: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+
+    def largest() -> tuple[int, int, np.ndarray, np.ndarray]:
+        """The next by imbalance, then place: a number of its own or a merged partial partition."""
+        nonlocal at
+        if at < count and (not merged or (-int(sizes[single[at]]), int(single[at])) < merged[0][:2]):
+            at += 1
+            k = single[at - 1 : at]
+            return -int(sizes[k[0]]), int(k[0]), sizes[k].astype(np.int64), k
+        return heapq.heappop(merged)
+
+    for _ in range(count - 1):
+        _, _, sums, trees = largest()
+        _, order, more, others = largest()
+        more, others = more[::-1], others[::-1]
+        shared = max(0, len(sums) + len(more) - ways)
+        alone = len(sums) - shared
+        made = np.arange(nodes, nodes + shared)
+        left[made - count], right[made - count] = trees[alone:], others[:shared]
+        nodes += shared
+        sums = np.concatenate([sums[:alone], sums[alone:] + more[:shared], more[shared:]])
+        trees = np.concatenate([trees[:alone], made, others[shared:]])
         down = np.argsort(-sums, kind="stable")
         sums = sums[down]
-        heapq.heapreplace(partial, (int(sums[-1] - sums[0]), order, sums, trees[down]))
+        least = int(sums[-1]) if len(sums) == ways else 0
+        heapq.heappush(merged, (least - int(sums[0]), order, sums, trees[down]))
     groups = []
-    for tree in partial[0][3]:
-        group, todo = [], [int(tree)] if tree >= 0 else []
+    for tree in largest()[3]:
+        group, todo = [], [int(tree)]
         while todo:
             node = todo.pop()
-            if node < len(sizes):
+            if node < count:
                 group.append(node)
             else:
-                todo += [int(right[node]), int(left[node])]
+                todo += [int(right[node - count]), int(left[node - count])]
         groups.append(sorted(group))
-    return groups
+    return groups + [[] for _ in range(ways - len(groups))]

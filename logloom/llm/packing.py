@@ -28,12 +28,14 @@ WINDOWS = 512
 PIECE, MARGIN = 512, 2
 #: Sequences of one task are numbered from its number times this.
 NUMBERS = 1 << 40
+#: Rows of one result batch, and somewhat more where a window ends.
+ROWS = 4096
 
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 _KIND = pa.schema([(name, pa.int64()) for name in SCHEMA.replace(" bigint", "").split(", ")])
 
 
-@dataclass
+@dataclass(slots=True)
 class Piece:
     doc_id: int | None
     start: int
@@ -101,13 +103,11 @@ def packed(docs: DataFrame, definition: str, end_id: int = 1, capacity: int = CA
     """
     end = np.array([end_id], "<u4")
 
-    def rows(windows: Iterator[list[Piece]], number: int) -> Iterator[tuple]:
-        for window in windows:
-            offset = 0
-            for p in window:
-                yield (p.doc_id, p.start, len(p.ids), zlib.crc32(np.ascontiguousarray(p.ids)), p.tokens, number, offset, p.ids)
-                offset += len(p.ids)
-            number += 1
+    def rows(window: list[Piece], number: int) -> Iterator[tuple]:
+        offset = 0
+        for p in window:
+            yield (p.doc_id, p.start, len(p.ids), zlib.crc32(np.ascontiguousarray(p.ids)), p.tokens, number, offset, p.ids)
+            offset += len(p.ids)
 
     def table(made: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*made, strict=True))
@@ -117,19 +117,22 @@ def packed(docs: DataFrame, definition: str, end_id: int = 1, capacity: int = CA
         ids = pa.array([i.astype(np.int64) for i in columns[7]], pa.list_(pa.int64()))
         return pa.RecordBatch.from_arrays([*arrays, ids], [*_KIND.names, "ids"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[list[Piece]]:
         tokenizer, packer = word_ids(definition), Packer(capacity)
-        number = TaskContext.get().partitionId() * NUMBERS
         for batch in sliced(batches):
             flat = flat_of(batch)
             texts = [flat.data[a:b].tobytes() for a, b in zip(flat.offsets[:-1], flat.offsets[1:], strict=True)]
-            made: list[tuple] = []
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tokenizer.ids(texts), strict=True):
-                made += rows(packer.add(doc_id, np.concatenate([ids, end])), number)
-                number = made[-1][5] + 1 if made else number
-            if made:
+                yield from packer.add(doc_id, np.concatenate([ids, end]))
+        yield from packer.finish()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: list[tuple] = []
+        for number, window in enumerate(windows(batches), TaskContext.get().partitionId() * NUMBERS):
+            made += rows(window, number)
+            if len(made) >= ROWS:
                 yield table(made)
-        made = list(rows(packer.finish(), number))
+                made = []
         if made:
             yield table(made)
 

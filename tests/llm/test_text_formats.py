@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -117,6 +118,24 @@ def test_differencing_keeps_all_and_balances():
     assert sorted(sorted(np.array([8, 7, 6, 5, 4])[g].tolist()) for g in differenced(np.array([8, 7, 6, 5, 4]), 2)) == [[4, 5, 7], [6, 8]]
 
 
+def test_memory_of_many_small_pieces_is_bounded(spark):
+    """Dense partial partitions take 1.7 GB for these sizes."""
+    tracemalloc.start()
+    groups = differenced(np.full(104_755, 10), 512)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted(k for g in groups for k in g) == list(range(104_755))
+    assert {len(g) for g in groups} <= {204, 205}
+    assert peak < 100 << 20
+    empty = spark.range(300_000).coalesce(1).selectExpr("id as doc_id", "if(id % 2 = 0, '', null) as text")
+    pieces = packing.packed(empty, tokenizer_definition()).toPandas()
+    assert sorted(pieces.doc_id) == list(range(300_000))
+    assert (pieces.length == 1).all() and (pieces.doc_tokens == 1).all()
+    filled = pieces.groupby("sequence_id").length.sum()
+    assert len(filled) == 147 and filled.max() <= packing.CAPACITY
+    assert not pieces.duplicated(["sequence_id", "offset"]).any()
+
+
 def test_word_ids_are_those_of_the_tokenizer():
     texts = ["", "Hello, WORLD!! it's a 'S test.", "foo<|endoftext|>bar <|ENDOFTEXT|> Ωmega ΣΑΣ", "x\x1cy\x85z\xa0w", "naïve é ́ 42% $$$ a.b,c; 'll", "A" * 5000, "<|startoftext|>"]
     tokenizer = Tokenizer.from_str(tokenizer_definition())
