@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attention, conversations, edit_match, language_crf, licenses, near_duplicates, noisy_or, packing, run_merge, secrets
+from . import attention, collocations, conversations, edit_match, language_crf, licenses, near_duplicates, noisy_or, packing, private_spans, resampling, run_merge, secrets
 
 Build = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Build] = {}
@@ -85,12 +85,12 @@ def op5_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.expr("array_position(attention, array_max(attention)) - 1").alias("top_passage"))
 
 
-def _joined(spans):
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["rule"], s["start"], s["end"])), ",")
+def _joined(spans, name: str = "rule"):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s[name], s["start"], s["end"])), ",")
 
 
-def _count_of(rule: str):
-    return F.size(F.filter("spans", lambda s: s["rule"] == rule)).cast("bigint")
+def _count_of(rule: str, name: str = "rule"):
+    return F.size(F.filter("spans", lambda s: s[name] == rule)).cast("bigint")
 
 
 @query
@@ -140,3 +140,99 @@ def op9_noisy_or(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_fast_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_classes(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_semi_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = private_spans.find_private(docs, private_spans.private_model(docs))
+    base = F.filter("spans", lambda s: s["kind"].isin(list(private_spans.BASE_KINDS)))
+    return found.select(
+        "doc_id",
+        *(_count_of(kind, "kind").alias(f"n_{kind}") for kind in private_spans.BASE_KINDS),
+        F.sha2(_joined(base, "kind"), 256).alias("base_sha256"), _joined(F.col("spans"), "kind").alias("spans"))
+
+
+@query
+def op12_gumbel_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+SQL["op12_gumbel_draw"] = r"""
+with own as (
+    select rowid_, kind, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+    from (select row_number() over () as rowid_, 'source' as kind, doc_id, text from documents
+          union all select row_number() over (), 'target', item_id, text from benchmark)
+), runs as (
+    select rowid_, kind, unnest(words) as run from own
+    union all
+    select rowid_, kind, unnest(list_transform(range(1, len(words)), lambda k: words[k] || ' ' || words[k + 1])) from own
+), octets as (
+    select run, list_transform(range(0, strlen(run)), lambda k: cast('0x' || substr(hex(encode(run)), 2 * k + 1, 2) as bigint)) as own
+    from (select distinct run from runs)
+), bits as (
+    select run, flatten(list_transform(own, lambda b: [(b >> 0) & 1, (b >> 1) & 1, (b >> 2) & 1, (b >> 3) & 1,
+                                                       (b >> 4) & 1, (b >> 5) & 1, (b >> 6) & 1, (b >> 7) & 1])) as own from octets
+), bucketed as (
+    select run, xor(list_reduce(own, lambda crc, b: xor(crc >> 1, 3988292384 * (xor(crc, b) & 1)), 4294967295), 4294967295) % 10000 as bucket from bits
+), counts as (
+    select bucket, count(*) filter (kind = 'source') as s, count(*) filter (kind = 'target') as t from runs join bucketed using (run) group by bucket
+), gains as (
+    select bucket, cast(floor(1000 * ln(cast(t + 1 as double) * (sum(s) over () + 10000) / (cast(s + 1 as double) * (sum(t) over () + 10000)))) as bigint) as gain from counts
+), weights as (
+    select rowid_, count(*) as n_features, cast(floor(sum(gain) / count(*)) as bigint) as weight
+    from runs join bucketed using (run) join gains using (bucket) where kind = 'source' group by rowid_
+), scored as (
+    select rowid_, doc_id, len(words) >= 20 as long_enough, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+           coalesce(weight, 0) + cast(floor(-1000 * ln(-ln((cast('0x' || substr(sha256('7:' || coalesce(cast(doc_id as varchar), '')), 1, 8) as bigint) + 0.5)
+                                                          / cast(4294967296 as double)))) as bigint) as score
+    from own left join weights using (rowid_) where kind = 'source'
+), placed as (
+    select *, row_number() over (partition by long_enough order by score desc, doc_id) as place, count(*) filter (long_enough) over () as n from scored
+)
+select doc_id, n_features, weight, score, case when long_enough and place <= 25 * n // 100 then place end as rank from placed
+"""
+
+
+@query
+def op13_pair_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.phrases(_table(spark, sf_dir, "documents"))
+
+
+SQL["op13_pair_tiles"] = r"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]')) as piece from documents
+), own as (
+    select lang, regexp_extract_all(piece, '[^ \t]+') as words from pieces
+), grams as (
+    select lang, 1 as size, unnest(words) as phrase from own
+    union all select lang, 2, unnest(list_transform(range(1, len(words)), lambda k: words[k] || ' ' || words[k + 1])) from own
+    union all select lang, 3, unnest(list_transform(range(1, len(words) - 1), lambda k: words[k] || ' ' || words[k + 1] || ' ' || words[k + 2])) from own
+), f as (
+    select lang, size, phrase, count(*) as f from grams group by all
+), totals as (
+    select lang, sum(f) as n from f where size = 1 group by lang
+), cuts as (
+    select lang, size, phrase, f as a, unnest(range(1, size)) as k, string_split(phrase, ' ') as own from f where size > 1 and f >= 10
+), halves as (
+    select *, array_to_string(own[:k], ' ') as head, array_to_string(own[k + 1:], ' ') as tail from cuts
+), valued as (
+    select c.lang, c.size, c.phrase, c.a, c.k, l.f as l, r.f as r,
+           cast((1000000 * cast(c.a as hugeint) * c.a) // (cast(l.f as hugeint) * r.f) as bigint) as score
+    from halves c join f l on l.lang = c.lang and l.phrase = c.head join f r on r.lang = c.lang and r.phrase = c.tail
+), best as (
+    select * from valued qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), around as (
+    select lang, a as longer, unnest([own[1] || ' ' || own[2], own[2] || ' ' || own[3]]) as phrase
+    from (select lang, a, string_split(phrase, ' ') as own from best where size = 3)
+), covered as (
+    select b.lang, b.phrase from best b join (select lang, phrase, max(longer) as longer from around group by all) o
+        on o.lang = b.lang and o.phrase = b.phrase where 100 * longer >= 50 * a
+), ranked as (
+    select lang, phrase, a, l, r, score, row_number() over (partition by lang order by score desc, a desc, phrase) as rank
+    from best anti join covered using (lang, phrase)
+)
+select lang, rank, phrase, a, l, r, cast(n as bigint) as n, score from ranked join totals using (lang) where rank <= 2000
+"""
