@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
+from ..functions.names import unused
 from ..functions.time import Moment, bucket, moment, seconds
 from .chains import BLOCK_ROWS, chain_times, micros
-from .latest import latest_per_key
+from .latest import first_of_each, latest_per_key
 
 # Fixed value: how long a seen line is remembered.
 REPEAT_SECONDS = 30 * 60
@@ -32,10 +33,11 @@ def drop_repeats(df: DataFrame, key: str = "content_hash", ts: str = "timestamp"
     Rows without key or time cannot be judged and are kept.
     """
     judged = F.col(key).isNotNull() & F.col(ts).isNotNull()
-    timed = df.filter(judged).withColumn("_at", micros(df, ts))
-    chain = chain_times(df.filter(judged), key, ts, ttl_seconds, block_rows)
-    members = timed.join(chain, [key, "_at"], "left_semi")
-    firsts = latest_per_key(members, [key, "_at"], _whole_order(df, [tie]))
+    at = unused("_at", df)
+    timed = df.filter(judged).withColumn(at, micros(df, ts))
+    chain = chain_times(df.filter(judged), key, ts, ttl_seconds, block_rows).toDF(key, at)
+    members = timed.join(chain, [key, at], "left_semi")
+    firsts = latest_per_key(members, [key, at], _whole_order(df, [tie]))
     return firsts.select(*df.columns).unionByName(df.filter(~judged))
 
 
@@ -46,10 +48,11 @@ def drop_seen(batch: DataFrame, seen: DataFrame, key: str = "content_hash", ts:
     ``seen`` holds one row per hash: (key, last kept time). A row from before that time is
     late, not a repeat: it is judged by the rows of its own batch.
     """
-    last = seen.select(F.col(key), F.col(ts).alias("_last"))
-    repeat = (F.col(ts) >= F.col("_last")) & (F.col(ts) < F.col("_last") + seconds(ttl_seconds))
+    name = unused("_last", batch)
+    last = seen.select(F.col(key), F.col(ts).alias(name))
+    repeat = (F.col(ts) >= F.col(name)) & (F.col(ts) < F.col(name) + seconds(ttl_seconds))
     fresh = batch.join(last, key, "left").filter(~F.coalesce(repeat, F.lit(False)))
-    return drop_repeats(fresh.drop("_last"), key, ts, tie, ttl_seconds)
+    return drop_repeats(fresh.select(*batch.columns), key, ts, tie, ttl_seconds)
 
 
 def remember(seen: DataFrame, kept: DataFrame, as_of: Moment, key: str = "content_hash",
@@ -61,8 +64,10 @@ def remember(seen: DataFrame, kept: DataFrame, as_of: Moment, key: str = "conten
 
 def _openings(requests: DataFrame, client: str, ts: str, window_seconds: int, block_rows: int) -> DataFrame:
     """The first times of windows as distinct (client, ts)."""
-    timed = requests.withColumn("_at", micros(requests, ts)).select(client, ts, "_at").distinct()
-    return timed.join(chain_times(requests, client, ts, window_seconds, block_rows), [client, "_at"], "left_semi").select(client, ts)
+    at = unused("_at", requests)
+    timed = requests.withColumn(at, micros(requests, ts)).select(client, ts, at).distinct()
+    chain = chain_times(requests, client, ts, window_seconds, block_rows).toDF(client, at)
+    return timed.join(chain, [client, at], "left_semi").select(client, ts)
 
 
 def _with_opening(requests: DataFrame, openings: DataFrame, client: str, ts: str, window_seconds: int) -> DataFrame:
@@ -71,13 +76,14 @@ def _with_opening(requests: DataFrame, openings: DataFrame, client: str, ts: str
     A request finds its opening in its own or the previous clock-aligned bucket, so the
     join is on equal keys, with at most three openings per client and bucket.
     """
+    slot = unused("_bucket", requests)
     opened = openings.select(
         client, F.col(ts).alias("window_start"),
-        F.explode(F.array(bucket(F.col(ts), window_seconds), bucket(F.col(ts), window_seconds) + 1)).alias("_bucket"))
-    timed = requests.withColumn("_bucket", bucket(F.col(ts), window_seconds))
-    joined = timed.join(opened, [client, "_bucket"])
+        F.explode(F.array(bucket(F.col(ts), window_seconds), bucket(F.col(ts), window_seconds) + 1)).alias(slot))
+    timed = requests.withColumn(slot, bucket(F.col(ts), window_seconds))
+    joined = timed.join(opened, [client, slot])
     inside = (F.col(ts) >= F.col("window_start")) & (F.col(ts) < F.col("window_start") + seconds(window_seconds))
-    return joined.filter(inside).drop("_bucket")
+    return joined.filter(inside).drop(slot)
 
 
 def anchored_window_report(requests: DataFrame, client: str, window_seconds: int = 60, limit: int = 100,
@@ -88,9 +94,10 @@ def anchored_window_report(requests: DataFrame, client: str, window_seconds: int
     before they are joined to their opening.
     """
     openings = _openings(requests, client, ts, window_seconds, block_rows)
-    per_time = requests.groupBy(client, ts).agg(F.count(F.lit(1)).alias("_n"))
+    n = unused("_n", requests)
+    per_time = requests.groupBy(client, ts).agg(F.count(F.lit(1)).alias(n))
     counted = _with_opening(per_time, openings, client, ts, window_seconds).groupBy(client, "window_start").agg(
-        F.sum("_n").alias("requests"))
+        F.sum(n).alias("requests"))
     return counted.select(
         client, "window_start", "requests",
         F.least("requests", F.lit(limit)).cast("bigint").alias("allowed"),
@@ -102,5 +109,4 @@ def anchored_window_admitted(requests: DataFrame, client: str, window_seconds: i
     """The requests that fit: the first ``limit`` of each such window, with its ``window_start``."""
     openings = _openings(requests, client, ts, window_seconds, block_rows)
     opened = _with_opening(requests, openings, client, ts, window_seconds)
-    rank = F.row_number().over(W.partitionBy(client, "window_start").orderBy(ts, tie))
-    return opened.withColumn("_rank", rank).filter(F.col("_rank") <= limit).select(*requests.columns, "window_start")
+    return first_of_each(opened, [client, "window_start"], [ts, tie], limit).select(*requests.columns, "window_start")

@@ -9,7 +9,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from ..functions.time import Moment, as_datetime, before, bucket, epoch_seconds, from_epoch_seconds, moment
+from ..functions.names import unused
 from .frames import BLOCK_ROWS, over_last_rows
+from .latest import first_of_each
 
 # The call window of the breaker settings and the limits of the rate limiters.
 CALLS, MIN_CALLS, RATE_THRESHOLD = 10, 5, 0.5
@@ -23,24 +25,26 @@ _SPAN_SECONDS = 3600
 def counter_delta(ticks: DataFrame, instance: str = "instance_id", tick: str = "tick",
                   total: str = "total", out: str = "rate") -> DataFrame:
     """Growth of a cumulative counter from tick to tick; the first tick counts from 0."""
+    first, n = unused("_first", ticks), unused("_n", ticks)
     lagged = over_last_rows(
         ticks, [instance], [tick], 2,
-        {"_first": lambda w: F.first(total).over(w), "_n": lambda w: F.count(F.lit(1)).over(w)})
-    previous = F.when(F.col("_n") == 1, F.lit(0)).otherwise(F.col("_first"))
-    return lagged.withColumn(out, F.col(total) - previous).drop("_first", "_n")
+        {first: lambda w: F.first(total).over(w), n: lambda w: F.count(F.lit(1)).over(w)})
+    previous = F.when(F.col(n) == 1, F.lit(0)).otherwise(F.col(first))
+    return lagged.withColumn(out, F.col(total) - previous).drop(first, n)
 
 
 def bad_call_rate(calls: DataFrame, bad: Column, instance: str = "instance", order: list[str] | None = None,
                   window: int = CALLS, min_calls: int = MIN_CALLS, threshold: float = RATE_THRESHOLD,
                   block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Share of bad calls among the last ``window`` calls of an instance, judged from ``min_calls`` on."""
-    marked = calls.withColumn("_bad", F.when(bad, 1).otherwise(0))
+    flag = unused("_bad", calls)
+    marked = calls.withColumn(flag, F.when(bad, 1).otherwise(0))
     framed = over_last_rows(
         marked, [instance], order or ["timestamp", "id"], window,
-        {"calls": lambda w: F.count(F.lit(1)).over(w), "bad_calls": lambda w: F.sum("_bad").over(w)},
+        {"calls": lambda w: F.count(F.lit(1)).over(w), "bad_calls": lambda w: F.sum(flag).over(w)},
         block_rows)
     rate = F.col("bad_calls") / F.col("calls")
-    return framed.drop("_bad").withColumns({
+    return framed.drop(flag).withColumns({
         "rate": rate, "tripped": (F.col("calls") >= min_calls) & (rate >= threshold)})
 
 
@@ -66,14 +70,8 @@ def fixed_window_report(requests: DataFrame, client: str, window_seconds: int =
 
 def fixed_window_admitted(requests: DataFrame, client: str, window_seconds: int = CLIENT_WINDOW_SECONDS,
                           limit: int = CLIENT_LIMIT, ts: str = "timestamp", tie: str = "id") -> DataFrame:
-    """The requests that fit: the first ``limit`` of each client and window.
-
-    The rank filter already runs before the shuffle, so a window with very many
-    requests sends at most ``limit`` rows per task.
-    """
-    rank = F.row_number().over(W.partitionBy(client, "_b").orderBy(ts, tie))
-    numbered = requests.withColumn("_b", bucket(F.col(ts), window_seconds)).withColumn("_rank", rank)
-    return numbered.filter(F.col("_rank") <= limit).drop("_b", "_rank")
+    """The requests that fit: the first ``limit`` of each client and window."""
+    return first_of_each(requests, [F.col(client), bucket(F.col(ts), window_seconds)], [ts, tie], limit)
 
 
 def _trailing_sum(per_second: DataFrame, keys: list[str], second: str, value: str, window_seconds: int,
@@ -116,12 +114,12 @@ def sliding_window_report(requests: DataFrame, key: str, window_seconds: int, li
 def sliding_window_requests(requests: DataFrame, key: str, window_seconds: int, limit: int,
                             ts: str = "timestamp") -> DataFrame:
     """Every request with the number in its window and whether that is over the limit."""
+    own, at, second = (unused(name, requests) for name in ("_key", "_at", "_second"))
     report = sliding_window_report(requests, key, window_seconds, limit, ts).select(
-        F.col(key).alias("_key"), F.col("second").alias("_second"), "in_window", "limited")
-    timed = requests.withColumn("_at", from_epoch_seconds(epoch_seconds(F.col(ts))))
-    joined = timed.join(
-        report, timed[key].eqNullSafe(report["_key"]) & (timed["_at"] == report["_second"]))
-    return joined.drop("_at", "_key", "_second")
+        F.col(key).alias(own), F.col("second").alias(second), "in_window", "limited")
+    timed = requests.withColumn(at, from_epoch_seconds(epoch_seconds(F.col(ts))))
+    joined = timed.join(report, timed[key].eqNullSafe(report[own]) & (timed[at] == report[second]))
+    return joined.drop(at, own, second)
 
 
 def _admit(window_seconds: int, limit: int) -> Callable[[pd.DataFrame], pd.DataFrame]:

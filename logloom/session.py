@@ -56,19 +56,29 @@ def settle(df: DataFrame) -> DataFrame:
     evaluation: executors may be lost and tasks rerun after it without any change.
     Steps that need few of the columns read just those.
     """
+    stored, path = written(df)
+    _SETTLED.get().append(path)
+    return stored
+
+
+def written(df: DataFrame) -> tuple[DataFrame, str]:
+    """A copy of ``df`` in the shared folder, and its path, for the caller to delete."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/logloom-settled/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _SETTLED.get().append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def forget_settled(spark: SparkSession) -> None:
     """Delete the tables settled so far, once no result depends on them any more."""
     paths = _SETTLED.get()
     while paths:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(paths.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, paths.pop())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(found, True)
 
 
 @contextmanager
