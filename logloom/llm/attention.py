@@ -11,12 +11,11 @@ import re
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import map_slices, pick, texts_of
+from .blocks import keep_slices, map_slices, pick, texts_of
 from .learning import Adam, Known, bucket, fold_of, labelled_sample, sigmoid
 
 #: Words in a passage.
@@ -121,9 +120,8 @@ class Attention:
         if self.known is None:
             self.known = Known(word_rows)
         bags = bags_of(texts, self.known)
-        rows = self.known.rows[:, :FORMS].astype(np.int32)
         own, back = np.unique(bags.numbers, return_inverse=True)
-        vectors = self.weights["words"][rows[own]].sum(axis=1)
+        vectors = self.weights["words"][self.known.rows[own, :FORMS].astype(np.int32)].sum(axis=1)
         bags.numbers = back
         inputs = np.concatenate([_mean_forms(bags, vectors) if len(own) else np.zeros((len(bags.starts), VECTOR)),
                                  (bags.counted - self.center) / self.scale], axis=1)
@@ -218,11 +216,4 @@ def quality(docs: DataFrame, model: Attention) -> DataFrame:
 def accepted(docs: DataFrame, model: Attention) -> DataFrame:
     """``docs`` without the rows whose text scores below ``ACCEPTED``; all columns stay."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("double")
-    def score(texts):
-        own = texts.tolist()
-        parts = [shipped.value.scores(own[k : k + 500]) for k in range(0, len(own), 500)]
-        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
-
-    return docs.where(score(F.coalesce(F.col("text"), F.lit(""))) >= ACCEPTED)
+    return keep_slices(docs, lambda batch: shipped.value.scores(texts_of(batch)) >= ACCEPTED)

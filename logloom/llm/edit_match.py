@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import map_slices, pick, texts_of
+from .blocks import keep_slices, map_slices, pick, texts_of
 
 #: Characters of a unit at least, and characters that allow one edit.
 UNIT, PER_EDIT = 80, 12
@@ -225,11 +225,9 @@ def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the rows that hold a test item, with or without id; all columns stay."""
     result = docs
     for units in item_blocks(items):
-
-        @F.pandas_udf("boolean")
-        def clean(texts, units=units):
+        def clean(batch: pa.RecordBatch, units: list[Unit] = units) -> list[bool]:
             searcher = searcher_of(units)
-            return texts.map(lambda text: not searcher.found(text or ""))
+            return [not searcher.found(text) for text in texts_of(batch)]
 
-        result = result.where(clean(F.coalesce(F.col("text"), F.lit(""))))
+        result = keep_slices(result, clean)
     return result

@@ -49,7 +49,7 @@ class Known:
     When more than ``most`` words are known, all are forgotten; numbers hold until the next call of ``numbers``.
     """
 
-    def __init__(self, rows_of: Callable[[list[str]], np.ndarray], most: int = 400_000):
+    def __init__(self, rows_of: Callable[[list[str]], np.ndarray], most: int = 200_000):
         self.rows_of, self.most = rows_of, most
         self.forget()
 

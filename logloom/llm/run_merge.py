@@ -22,8 +22,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from logloom.functions.names import unused
 from logloom.session import settle
 
+from .blocks import IDS_SENT
 
 #: Runs that meet in one round.
 FAN = 16
@@ -106,12 +108,23 @@ def _named(root: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that :func:`exact_groups` drops; all columns stay as they are."""
-    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    marked = docs.withColumn("_sha256", F.sha2(normalised(docs["text"]), 256))
-    same = Window.partitionBy("doc_id", "_sha256").orderBy(F.xxhash64(*docs.columns))
-    once = marked.withColumn("_rank", F.row_number().over(same)).where("_rank = 1").drop("_rank")
-    return once.join(kept, once["doc_id"].eqNullSafe(kept["_id"]) & (once["_sha256"] == kept["_sha"]),
-                     "left_semi").select(*docs.columns)
-
+    """``docs`` without the rows that :func:`exact_groups` drops; all columns stay as they are.
 
+    Rows are looked up by id and digest; only those that have both in common with another row are told apart, by a hash of all columns.
+    """
+    pair, copies, rank = (unused(name, docs) for name in ("_pair", "_copies", "_rank"))
+    both = lambda doc_id, digest: F.sha2(F.concat(digest, F.lit(":"), F.coalesce(doc_id.cast("string"), F.lit("null"))), 256)
+    found = exact_groups(docs).groupBy(both(F.col("doc_id"), F.col("text_sha256")).alias(pair)).agg(
+        F.count("*").alias(copies), F.max("kept").alias("kept"))
+    notable = settle(found.where(~F.col("kept") | (F.col(copies) > 1)))
+    marked = docs.withColumn(pair, both(docs["doc_id"], F.sha2(normalised(docs["text"]), 256)))
+    alone = _by_key(marked, notable.select(pair), pair, "left_anti")
+    same = Window.partitionBy(pair).orderBy(F.xxhash64(*docs.columns))
+    repeated = _by_key(marked, notable.where("kept").select(pair), pair, "left_semi").withColumn(rank, F.row_number().over(same))
+    return alone.select(*docs.columns).union(repeated.where(F.col(rank) == 1).select(*docs.columns))
+
+
+def _by_key(rows: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
+    """``rows`` whose ``key`` is, or is not, among the settled ``keys``; the rows are only shuffled for more than ``IDS_SENT`` keys."""
+    few = keys.limit(IDS_SENT + 1).count() <= IDS_SENT
+    return rows.join(F.broadcast(keys) if few else keys.hint("shuffle_merge"), key, how)

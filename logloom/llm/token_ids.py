@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import os
+from array import array
 
 import numpy as np
 
 #: Marks that may follow a word.
 MARKS = b".,;:!?|*#$%&"
-#: Words kept with their ids in one worker.
-WORDS_KEPT = 1_000_000
+#: Words kept with their ids in one worker, as the bytes of words and ids and ``ENTRY`` more for each: half of it for words of late, half for those before.
+KEPT_BYTES, ENTRY = 160 << 20, 250
 
 
 class WordIds:
@@ -23,15 +24,20 @@ class WordIds:
         self.tokenizer = Tokenizer.from_str(definition)
         self.lower = self.tokenizer.encode("A'Bc., ").ids == self.tokenizer.encode("a'bc., ").ids
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
+        self.held = 0
 
     def ids(self, texts: list[bytes]) -> list[np.ndarray]:
         """For each text in UTF-8 its ids as unsigned 32-bit numbers."""
         split = [self.plain(text).split() for text in texts]
-        new = set().union(*split).difference(self.known)
-        if len(self.known) + len(new) > WORDS_KEPT:
-            self.known = {}
-            new = set().union(*split)
-        self.learn(new)
+        words = set().union(*split)
+        if self.held > KEPT_BYTES // 2:  # words that come again are taken over, the others are forgotten at the next turn
+            self.before, self.known, self.held = self.known, {}, 0
+        new = words.difference(self.known)
+        again = {word: self.before[word] for word in new.intersection(self.before)}
+        self.known.update(again)
+        self.held += sum(map(len, again)) + sum(map(len, again.values())) + ENTRY * len(again)
+        self.learn(new.difference(again))
         of = self.known.__getitem__
         return [np.frombuffer(b"".join(map(of, words)), "<u4") for words in split]
 
@@ -41,14 +47,19 @@ class WordIds:
 
     def learn(self, new: set[bytes]) -> None:
         """Adds words. Letters and the marks behind them are apart for the tokenizer, so both are encoded once."""
-        parts = {}
+        marked, todo = {}, []
         for word in new:
             bare = word.rstrip(MARKS) if self.lower else word
-            parts[word] = (bare, word[len(bare) :]) if bare != word and bare.decode().isalpha() else (word,)
-        todo = list({part for own in parts.values() for part in own}.difference(self.known))
-        encoded = self.tokenizer.encode_batch_fast([part.decode() for part in todo], add_special_tokens=False)
-        self.known.update((part, np.array(found.ids, "<u4").tobytes()) for part, found in zip(todo, encoded, strict=True))
-        self.known.update((word, b"".join(self.known[part] for part in own)) for word, own in parts.items() if len(own) > 1)
+            if len(bare) < len(word) and bare.decode().isalpha():
+                marked[word] = bare, word[len(bare) :]
+            else:
+                todo.append(word)
+        size, known = len(self.known), self.known
+        todo += {part for own in marked.values() for part in own if part not in known}.difference(todo)
+        encoded = self.tokenizer.encode_batch_fast(list(map(bytes.decode, todo)), add_special_tokens=False)
+        known.update(zip(todo, [array("I", found.ids).tobytes() for found in encoded], strict=True))
+        known.update((word, known[bare] + known[marks]) for word, (bare, marks) in marked.items())
+        self.held += 2 * sum(map(len, new)) + ENTRY * (len(known) - size)
 
 
 _LOADED: dict[str, WordIds] = {}
