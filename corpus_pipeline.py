@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from logloom.llm import attention, edit_match, near_duplicates, packing, run_merge
 from logloom.llm.queries import tokenizer_definition
-from logloom.session import settle
+from logloom.session import delete, settled_here, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -55,10 +55,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; what a stage keeps is written to the shared folder and read by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for place, (_, stage) in enumerate(STAGES, 1):
-        docs = stage(spark, docs, sf_dir)
-        if place < len(STAGES):
-            docs = settle(docs)
-    return docs
+    """All stages over the documents; what a stage keeps is written to the shared folder and read by the next.
+
+    What a stage settled on its way is deleted when its result is written, and that when the next stage is done.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for _, stage in STAGES[:-1]:
+        with settled_here(spark):
+            docs, path = written(stage(spark, docs, sf_dir))
+        if before is not None:
+            delete(spark, before)
+        before = path
+    return STAGES[-1][1](spark, docs, sf_dir)
