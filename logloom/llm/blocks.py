@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Bytes of text in one slice, unless a single text is longer.
 SLICE_BYTES = 2 << 20
@@ -43,6 +44,16 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             at = to
 
 
+#: Bytes of the Arrow batches in which rows go to Python; with long texts the usual 10,000 rows take too much of an executor.
+BATCH_BYTES = "4m"
+
+
+def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """``df.mapInArrow``, in a session whose Arrow batches are bounded by ``BATCH_BYTES``."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df.mapInArrow(run, schema)
+
+
 def map_slices(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, column: str = "text") -> DataFrame:
     """``work`` on each slice of ``df``; the memory a task holds is a few times one slice or one text."""
 
@@ -51,7 +62,7 @@ def map_slices(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch],
             yield work(batch)
         pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
-    return df.mapInArrow(run, schema)
+    return in_arrow(df, run, schema)
 
 
 def keep_slices(df: DataFrame, wanted: Callable[[pa.RecordBatch], np.ndarray], column: str = "text") -> DataFrame:
@@ -62,7 +73,7 @@ def keep_slices(df: DataFrame, wanted: Callable[[pa.RecordBatch], np.ndarray], c
             yield batch.filter(pa.array(wanted(batch), pa.bool_()))
         pa.default_memory_pool().release_unused()
 
-    return df.mapInArrow(run, df.schema)
+    return in_arrow(df, run, df.schema)
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:

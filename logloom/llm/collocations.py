@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from logloom.session import settle
 
-from .blocks import pick, sliced
+from .blocks import in_arrow, pick, sliced
 
 #: Occurrences of a phrase at least; a shorter phrase goes if a longer one around it has so many hundredths of its occurrences; phrases of a language.
 LEAST, COVERED, TOP = 10, 50, 2000
@@ -33,9 +33,11 @@ RANKED = 1 << 16
 #: Numbers of one side of a tile as a power of two; pairs of one slice from which a tile becomes an array; arrays of a task.
 TILE, CROWDED, ARRAYS = 9, 4096, 32
 #: Words that a task keeps numbers for, coordinates and languages it holds, and rows of a batch it gives out.
-HELD_WORDS, HELD_COORDINATES, HELD_LANGUAGES, GIVEN = 400_000, 1_500_000, 500, 200_000
+HELD_WORDS, HELD_COORDINATES, HELD_LANGUAGES, GIVEN = 300_000, 1_000_000, 500, 100_000
+#: Parts of a language whose first phrases are ranked before those of the whole.
+PARTS = 64
 #: Bytes of text that are cut into words at a time.
-AT_ONCE = 2 << 20
+AT_ONCE = 1 << 20
 #: Bits of the table of what is frequent.
 BITS = 1 << 26
 #: How the parts of a phrase are added up to its bit.
@@ -252,7 +254,7 @@ def _counted(docs: DataFrame, size: int, known: Frequent | None) -> DataFrame:
                         yield from counter.given()
         yield from counter.given()
 
-    parts = pick(docs, "lang", "text").mapInArrow(run, ROWS)
+    parts = in_arrow(pick(docs, "lang", "text"), run, ROWS)
     return parts.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where((F.col("n") >= LEAST) | F.col("phrase").isNull())
 
 
@@ -320,7 +322,10 @@ def phrases(docs: DataFrame, top: int = TOP) -> DataFrame:
     covered = around.groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
     covered = covered.join(pairs, ["lang", "phrase"]).where(100 * F.col("longer") >= COVERED * F.col("n")).select("lang", "phrase")
     kept = best.join(covered, ["lang", "phrase"], "left_anti").select("lang", "phrase", "a", "best.l", "best.r", "best.score")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    first = kept.withColumn("rank", F.row_number().over(order).cast("bigint")).where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    # Each of some parts of a language gives its first ones, so that one task ranks few rows.
+    part = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*order)
+    best = kept.withColumn("place", F.row_number().over(part)).where(F.col("place") <= top).drop("place")
+    first = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("bigint")).where(F.col("rank") <= top)
     totals = words.where("phrase is null").select("lang", "n")
     return first.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -166,13 +166,20 @@ class Dfa:
     accepts: np.ndarray
     resets: np.ndarray
 
-    def longest(self, data: bytes) -> int:
-        """Length of the longest match at the start of ``data``, or -1; for automata that are not ``everywhere``."""
+    def longest(self, data: bytes, begin: int = 0, stop: int | None = None) -> int:
+        """Length of the longest match that begins at ``begin``, or -1; for automata that are not ``everywhere``."""
+        return self._longest(data, range(begin, len(data) if stop is None else stop))
+
+    def longest_back(self, data: bytes, stop: int, floor: int = 0) -> int:
+        """The same for an automaton that reads ``backward``, from ``stop`` down to ``floor``."""
+        return self._longest(data, range(stop - 1, floor - 1, -1))
+
+    def _longest(self, data: bytes, places: range) -> int:
         state, end, classes, width, follow, accepts = 0, -1, self.classes, self.width, self.next, self.accepts
-        for at, byte in enumerate(data, 1):
-            state = follow[state * width + classes[byte]]
+        for size, at in enumerate(places, 1):
+            state = follow[state * width + classes[data[at]]]
             if accepts[state]:
-                end = at
+                end = size
             elif state == self.dead:
                 break
         return end
@@ -239,36 +246,104 @@ def compile_dfa(patterns: list[tuple[str, bool]], everywhere: bool = True, backw
     return Dfa(classes, follow.shape[1], follow.ravel().astype(np.int32), accepts, resets)
 
 
-def lanes_of(flat: Flat, resets: np.ndarray, most: int = LANE_BYTES) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of pieces of texts; a text is only cut behind a byte that resets the automaton."""
+def lanes_of(flat: Flat, resets: np.ndarray, most: int = LANE_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of pieces of texts, and whether the automaton may be in any state where a piece starts.
+
+    Texts are cut behind bytes that reset the automaton, and where none comes for long, anywhere.
+    """
     safe = np.flatnonzero(resets[flat.data]) + 1
     size = len(flat.data)
     aims = np.arange(most, size, most)
     at = np.searchsorted(safe, aims)
     cuts = safe[at[at < len(safe)]]
-    edges = np.unique(np.concatenate([flat.offsets, cuts[cuts < size]]))
-    return edges[:-1], edges[1:]
+    known = np.unique(np.concatenate([flat.offsets, cuts[cuts < size]]))
+    pieces = np.maximum(1, -(-np.diff(known) // (2 * most)))
+    first = np.concatenate([[0], np.cumsum(pieces)])
+    inner = np.arange(first[-1]) - np.repeat(first[:-1], pieces)
+    starts = np.repeat(known[:-1], pieces) + inner * 2 * most
+    return starts, np.append(starts[1:], size), inner > 0
+
+
+class _Run:
+    """States behind every byte of the texts; pieces go forward in step, one byte at a time."""
+
+    def __init__(self, dfa: Dfa, flat: Flat, starts: np.ndarray, ends: np.ndarray):
+        self.dfa, self.starts, self.ends = dfa, starts, ends
+        self.codes = dfa.classes[flat.data]
+        self.trace = np.zeros(len(flat.data), np.int32)
+        self.begin = np.zeros(len(starts), np.int32)
+
+    def forward(self, pieces: np.ndarray, until_same: bool) -> None:
+        """Run ``pieces`` from their ``begin``; ``until_same``: as soon as a piece is in a state that it was in before, the rest is known."""
+        pieces = pieces[np.argsort(self.starts[pieces] - self.ends[pieces], kind="stable")]
+        at, state = self.starts[pieces], self.begin[pieces]
+        sizes = self.ends[pieces] - at
+        step = 0
+        while len(at):
+            going = len(sizes) - np.searchsorted(sizes[::-1], step, "right")
+            if going < len(sizes):
+                at, state, sizes = at[:going], state[:going], sizes[:going]
+                if not going:
+                    break
+            place = at + step
+            state = self.dfa.next[state * self.dfa.width + self.codes[place]]
+            if until_same:
+                new = state != self.trace[place]
+                if not new.all():
+                    at, state, sizes, place = at[new], state[new], sizes[new], place[new]
+            self.trace[place] = state
+            step += 1
+
+    def ending(self) -> np.ndarray:
+        return np.where(self.ends > self.starts, self.trace[np.maximum(self.ends, 1) - 1], self.begin)
+
+    def one_by_one(self, pieces: np.ndarray) -> None:
+        """Run ``pieces`` in order, each from where the piece before ends, until it is in the state that it was in before."""
+        follow, width, codes = self.dfa.next.tolist(), self.dfa.width, self.codes
+        for piece in pieces.tolist():
+            begin, end = int(self.starts[piece]), int(self.ends[piece])
+            state = int(self.trace[begin - 1])
+            if state == self.begin[piece]:
+                continue
+            self.begin[piece] = state
+            before, new = self.trace[begin:end].tolist(), []
+            for code, old in zip(codes[begin:end].tolist(), before, strict=True):
+                state = follow[state * width + code]
+                if state == old:
+                    break
+                new.append(state)
+            self.trace[begin : begin + len(new)] = new
+
+
+#: Times that pieces run again in step from the state in which the piece before has ended; then they go one by one.
+AGAIN = 3
+
+
+def states_of(dfa: Dfa, flat: Flat) -> np.ndarray:
+    """The state behind every byte of every text.
+
+    Pieces first run as if from the start. Where the piece before ends in another state, a piece runs again from that, until it is in the
+    state that it was in before; mostly this takes a few bytes. What is then still wrong follows a long stretch that keeps two states apart, and
+    goes piece by piece.
+    """
+    starts, ends, open_ = lanes_of(flat, dfa.resets)
+    run = _Run(dfa, flat, starts, ends)
+    run.forward(np.arange(len(starts)), until_same=False)
+    for turn in range(AGAIN + 1):
+        wanted = np.concatenate([[0], run.ending()[:-1]]).astype(np.int32)[: len(starts)]
+        wrong = np.flatnonzero(open_ & (wanted != run.begin))
+        if not len(wrong):
+            break
+        if turn == AGAIN:
+            run.one_by_one(np.flatnonzero(open_))
+            break
+        run.begin[wrong] = wanted[wrong]
+        run.forward(wrong, until_same=True)
+    return run.trace
 
 
 def scan(dfa: Dfa, flat: Flat) -> tuple[np.ndarray, np.ndarray]:
     """One pass over all texts: positions behind which a rule has matched, in order, and the rules' bits."""
-    starts, ends = lanes_of(flat, dfa.resets)
-    longest = np.argsort(starts - ends, kind="stable")
-    starts, lengths = starts[longest], (ends - starts)[longest]
-    codes = dfa.classes[flat.data]
-    state = np.zeros(len(starts), np.int32)
-    counts = len(lengths) - np.searchsorted(lengths[::-1], np.arange(lengths[0] if len(lengths) else 0), "right")
-    hits, bits = [], []
-    for step, active in enumerate(counts):
-        now = dfa.next[state[:active] * dfa.width + codes[starts[:active] + step]]
-        state[:active] = now
-        found = dfa.accepts[now]
-        if found.any():
-            lanes = np.flatnonzero(found)
-            hits.append(starts[lanes] + step + 1)
-            bits.append(found[lanes])
-    if not hits:
-        return np.zeros(0, np.int64), np.zeros(0, np.int32)
-    hits, bits = np.concatenate(hits), np.concatenate(bits)
-    order = np.argsort(hits, kind="stable")
-    return hits[order], bits[order]
+    found = dfa.accepts[states_of(dfa, flat)] if len(flat.data) else np.zeros(0, np.int32)
+    hits = np.flatnonzero(found)
+    return hits + 1, found[hits]

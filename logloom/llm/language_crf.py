@@ -15,19 +15,20 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from .blocks import map_slices, pick, texts_of
-from .learning import Adam, Known, affixes, bucket, fold_of, labelled_sample
+from .learning import SAMPLE_BYTES, Adam, Known, affixes, bucket, fold_of
 
 BUCKETS = 1 << 16
 AFFIXES, GRAM, GRAMS = (1, 4), 3, 6
 WIDTH = 1 + 2 * AFFIXES[1] + GRAMS
 #: Words of a block.
 BLOCK = 64
-#: Texts and training chains: a chain joins stretches of several texts, so that languages switch inside it.
-SAMPLE, CHAIN, STRETCH, CHAINS = 3000, 48, (4, 24), 4000
+#: Texts and training chains: a chain joins stretches of several texts, so that languages switch inside it. Of each language at most
+#: ``EACH`` texts are looked at, and they take turns until there are ``SAMPLE``.
+SAMPLE, EACH, CHAIN, STRETCH, CHAINS = 3000, 1000, 48, (4, 24), 4000
 EPOCHS, BATCH, RATE = 4, 64, 0.05
 FOLDS, HELD = 3, 1
 UNKNOWN = "und"
@@ -35,6 +36,15 @@ UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def _spans(text: str) -> list[tuple[int, int]]:
+    """Places of words: runs of letters, and of signs that count as such (like ``½``) where they stand with a letter."""
+    return [m.span() for m in _WORD.finditer(text) if m[0].isalpha() or any(map(str.isalpha, m[0]))]
+
+
+def words_in(text: str) -> list[str]:
+    return [word for word in _WORD.findall(text.lower()) if word.isalpha() or any(map(str.isalpha, word))]
+
+
 def features_of(words: list[str]) -> np.ndarray:
     """(words, WIDTH) feature numbers, 0 for none."""
     found = np.zeros((len(words), WIDTH), np.int32)
@@ -97,7 +107,7 @@ class Crf:
         """Probabilities of all words, and the first word of each text, with the end at last."""
         if self.known is None:
             self.known = Known(lambda words: self.weights[features_of(words)].sum(axis=1))
-        words = [_WORD.findall(text.lower()) for text in texts]
+        words = [words_in(text) for text in texts]
         first = np.concatenate([[0], np.cumsum([len(own) for own in words], dtype=np.int64)]).astype(np.int64)
         numbers = self.known.numbers([w for own in words for w in own])
         return marginals(self.known.rows[numbers].astype(float), first, self.moves), first
@@ -115,14 +125,14 @@ class Crf:
     def label_words(self, text: str) -> list[tuple[int, int, str, float]]:
         """(start, end, language, probability) of each word."""
         found, _ = self.word_marginals([text])
-        spans = [m.span() for m in _WORD.finditer(text)]
+        spans = _spans(text)
         return [(*s, self.languages[p.argmax()], float(p.max())) for s, p in zip(spans, found, strict=False)]
 
 
 def train(sample: list[tuple[str, str]], epochs: int = EPOCHS) -> Crf:
     """By stochastic steps on the likelihood of chains. An empty sample gives a model without languages."""
     random = np.random.default_rng(11)
-    texts = [(own, lang) for text, lang in sample if (own := _WORD.findall(text.lower()))]
+    texts = [(own, lang) for text, lang in sample if (own := words_in(text))]
     languages = sorted({lang for _, lang in texts})
     size = len(languages)
     if not size:
@@ -173,10 +183,23 @@ def train(sample: list[tuple[str, str]], epochs: int = EPOCHS) -> Crf:
     return Crf(languages, w["words"].astype(np.float32), w["moves"])
 
 
+def language_sample(docs: DataFrame, rows: int = SAMPLE, each: int = EACH, most: int = SAMPLE_BYTES) -> list[tuple[str, str]]:
+    """At most ``rows`` (text, language) pairs of ``docs`` (doc_id, text, lang): the languages take turns, each by the smallest hashes of ids.
+
+    Texts of at most ``most`` bytes come first; a language without enough of them gives the beginnings of longer ones.
+    """
+    told = docs.select(docs["doc_id"], docs["text"], docs["lang"]).where("doc_id is not null and text is not null and lang is not null")
+    order = W.partitionBy("lang").orderBy("long", F.xxhash64(F.col("doc_id").cast("bigint")), "doc_id")
+    ids = told.select("doc_id", "lang", (F.octet_length("text") > most).alias("long")).withColumn("turn", F.row_number().over(order))
+    chosen = ids.where(F.col("turn") <= each).orderBy("turn", "lang").limit(rows).select("doc_id", "lang").distinct()
+    texts = told.join(F.broadcast(chosen), ["doc_id", "lang"]).select(
+        "lang", F.when(F.octet_length("text") <= most, F.col("text")).otherwise(F.substring("text", 1, most // 4)).alias("text"))
+    return sorted({(row.text, row.lang) for row in texts.collect()})
+
+
 def language_model(docs: DataFrame) -> Crf:
     """Fitted on a bounded sample of the texts with a language outside the held-out fold."""
-    learned = docs.where(fold_of(docs["doc_id"], FOLDS) != HELD)
-    return train([(text, lang) for text, lang in labelled_sample(learned, learned, "lang", rows=SAMPLE)])
+    return train(language_sample(docs.where(fold_of(docs["doc_id"], FOLDS) != HELD)))
 
 
 def languages(docs: DataFrame, model: Crf) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from logloom.session import settle
 
-from .blocks import flat_of, map_slices, pick, rows_by_id
+from .blocks import flat_of, in_arrow, map_slices, pick, rows_by_id
 from .components import components
 from .fast_sketch import band_keys, marks_of, sketches
 from .shingles import digest_of, shingle_sets
@@ -79,7 +79,7 @@ def _agreeing(pairs: DataFrame) -> DataFrame:
                 close = (_marks(batch.column("marks_a")) == _marks(batch.column("marks_b"))).sum(axis=1) >= AGREEING
                 yield batch.select(["a", "b"]).filter(pa.array(close))
 
-    return pairs.select("a", "b", "marks_a", "marks_b").mapInArrow(run, "a bigint, b bigint")
+    return in_arrow(pairs.select("a", "b", "marks_a", "marks_b"), run, "a bigint, b bigint")
 
 
 class _Links:
@@ -189,7 +189,7 @@ def _all_left(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFra
                         yield found
 
     dealt = dealt.repartition("largest", "part").sortWithinPartitions("largest", "part", "passing")
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+    return in_arrow(dealt, run, "a bigint, b bigint").distinct()
 
 
 def _compared(held: pa.RecordBatch, others: pa.RecordBatch) -> pa.RecordBatch:
@@ -217,8 +217,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
 
     Documents are linked when their shingle sets are similar enough; ``component_id`` is the smallest doc_id that is
     reachable, ``kept`` says whether it is the document's own. Documents without words are linked with nothing. A null
-    text is empty. Documents need distinct ids: of rows that repeat an id and a text one row is returned, as is one for
-    each further text; a null id stands for itself and is never linked. An empty table gives no rows; other columns are not read.
+    text is empty. Documents need distinct ids: rows that repeat are returned as often as they are there, and all of them share the group of their text; a null id stands for itself and is never linked. An empty table gives no rows; other columns are not read.
     """
     named_docs = pick(docs, "doc_id", "text")
     rows = settle(sketched(named_docs))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .blocks import flat_of, pick, sliced
+from .blocks import flat_of, in_arrow, pick, sliced
 from .differencing import differenced
 from .token_ids import word_ids
 
@@ -136,4 +136,4 @@ def packed(docs: DataFrame, definition: str, end_id: int = 1, capacity: int = CA
         if made:
             yield table(made)
 
-    return pick(docs, "doc_id", "text").mapInArrow(run, SCHEMA + (", ids array<bigint>" if with_ids else ""))
+    return in_arrow(pick(docs, "doc_id", "text"), run, SCHEMA + (", ids array<bigint>" if with_ids else ""))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from logloom.session import settle
 
-from .blocks import Flat, Words, flat_of, map_slices, pick, sliced, words_of
+from .blocks import Flat, Words, flat_of, in_arrow, map_slices, pick, sliced, words_of
 
 BUCKETS = 10_000
 #: Documents with fewer words are not drawn; hundredths of the others that are.
@@ -105,7 +105,7 @@ def bucket_counts(texts: DataFrame) -> np.ndarray:
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], ["bucket", "n"])
 
-    found = pick(texts, "text").mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
+    found = in_arrow(pick(texts, "text"), run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(BUCKETS, np.int64)
     for row in found:
         counts[row.bucket] = row.n

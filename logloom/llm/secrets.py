@@ -81,13 +81,13 @@ def _matches(rule: Rule, data: bytes, ends: np.ndarray) -> list[tuple[int, int]]
     """Leftmost, longest, non-overlapping matches, given the places behind which the rule matched."""
     found, floor, at = [], 0, 0
     while at < len(ends):
-        back = rule.reverse.longest(data[floor : ends[at]][::-1])
+        back = rule.reverse.longest_back(data, int(ends[at]), floor)
         if back < 0:
             at += 1
             continue
         start = int(ends[at]) - back
-        floor = start + rule.forward.longest(data[start:])
-        value = rule.leading.longest(data[start:floor]) if rule.lead else 0
+        floor = start + rule.forward.longest(data, start)
+        value = rule.leading.longest(data, start, floor) if rule.lead else 0
         if floor - start - value >= rule.least:
             found.append((start, floor))
         at = int(np.searchsorted(ends, floor, "right"))

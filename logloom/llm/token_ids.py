@@ -11,7 +11,7 @@ import numpy as np
 #: Marks that may follow a word.
 MARKS = b".,;:!?|*#$%&"
 #: Words kept with their ids in one worker, as the bytes of words and ids and ``ENTRY`` more for each: half of it for words of late, half for those before.
-KEPT_BYTES, ENTRY = 160 << 20, 250
+KEPT_BYTES, ENTRY = 128 << 20, 250
 
 
 class WordIds:

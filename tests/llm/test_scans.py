@@ -2,12 +2,13 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pandas as pd
 import pytest
 
-from logloom.llm import edit_match, licenses, secrets
+from logloom.llm import dfa, edit_match, licenses, secrets
 from logloom.llm.blocks import Flat
 from logloom.llm.dfa import compile_dfa, scan
 
@@ -61,7 +62,7 @@ def test_automata_against_regular_expressions():
             ends = [e for e in range(len(text) + 1) if re.fullmatch(pattern, text[:e])]
             assert forward.longest(text.encode()) == (max([e for e in ends if e] or [-1]))
             ends = [e for e in range(len(text) + 1) if e and re.fullmatch(pattern, text[len(text) - e :])]
-            assert backward.longest(text.encode()[::-1]) == max(ends or [-1])
+            assert backward.longest_back(text.encode(), len(text)) == max(ends or [-1])
     text = "".join(pick.choice("abcdxyz ") for _ in range(4000))
     ends, bits = scan(together, flat([text]))
     found = dict(zip(ends.tolist(), bits.tolist(), strict=True))
@@ -73,6 +74,31 @@ def test_automata_against_regular_expressions():
         compile_dfa([("(ab", False)])
 
 
+def test_texts_without_safe_places_are_cut_anywhere(monkeypatch):
+    monkeypatch.setattr(dfa, "LANE_BYTES", 8)
+    monkeypatch.setattr(dfa.lanes_of, "__defaults__", (8,))
+    automaton = secrets.automaton(secrets.RULES)
+    pick = random.Random(4)
+    texts = [*odd_texts(300), "token" + " " * 900 + "= abcdef0", "a" * 700, "token=ab " * 90, "AKIA" * 200, "password" * 60 + ":" + "x" * 300]
+    texts += ["".join(pick.choice(["token", " ", "=", "f", "passw", "eyJ", "."]) for _ in range(400)) for _ in range(20)]
+    data = flat(texts)
+    expected = []
+    for text in texts:
+        state = 0
+        for byte in text.encode():
+            state = int(automaton.next[state * automaton.width + automaton.classes[byte]])
+            expected.append(state)
+    assert dfa.states_of(automaton, data).tolist() == expected
+
+
+@pytest.mark.parametrize("text", ["a" * 2_000_000, "wort und mehr " * 140_000, "token=abcdefgh1\n" * 120_000, "token" + " " * 2_000_000 + "=abcdef"])
+def test_long_texts_take_no_longer_than_short_ones(text):
+    began = time.process_time()
+    spans = secrets.spans_of(flat([text]))[0]
+    assert time.process_time() - began < 10
+    assert len(spans) == (text.count("token") if "=abcdef" in text else 1 if "a" * 100 in text else 0)
+
+
 def test_find_secrets_keeps_rows_and_ignores_other_columns(spark):
     rows = [(1, None, "r"), (1, None, "r"), (None, "", "r"), (2, "token = abcdef é", "r"), (3, "x" * 400_000 + " AKIA" + "Z" * 16, "r")]
     got = secrets.find_secrets(spark.createDataFrame(rows, DOCS + ", spans string")).collect()
