@@ -26,8 +26,7 @@ def test_stages_against_brute_force(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, left, kept = docs.columns, pd.read_parquet(f"{SF}/documents.parquet"), []
     model = attention.quality_model(docs, spark.read.parquet(f"{SF}/labels.parquet"))
-    units = [u for r in pd.read_parquet(f"{SF}/benchmark.parquet").itertuples() for u in edit_match.units_of(r.item_id, r.text)]
-    searcher = edit_match.Searcher(units)
+    searcher = edit_match.Searcher([(r.item_id, edit_match.plain(r.text)) for r in pd.read_parquet(f"{SF}/benchmark.parquet").itertuples()])
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
         stage(spark, docs, SF).write.parquet(path := str(tmp_path / str(k)))
         docs = spark.read.parquet(path)

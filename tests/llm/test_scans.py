@@ -3,6 +3,7 @@
 import random
 import re
 import time
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -157,6 +158,8 @@ def test_bit_parallel_distance_against_the_full_table():
         pattern = "".join(pick.choice("abc") for _ in range(pick.randint(1, 80)))
         text = "".join(pick.choice("abc") for _ in range(pick.randint(0, 60)))
         assert edit_match.best_match(pattern, text)[0] == table_distance(pattern, text)
+    pairs = [("".join(pick.choice("abé😀") for _ in range(pick.randint(1, 64))), "".join(pick.choice("abé😀") for _ in range(pick.randint(0, 90)))) for _ in range(1500)]
+    assert edit_match.least_distances(*map(list, zip(*pairs, strict=True))).tolist() == [edit_match.best_match(*pair)[0] for pair in pairs]
 
 
 def test_search_against_the_full_table():
@@ -165,7 +168,7 @@ def test_search_against_the_full_table():
     say = lambda n: " ".join(pick.choice(words) for _ in range(n))
     items = [say(pick.randint(6, 40)) for _ in range(25)]
     units = [u for k, text in enumerate(items) for u in edit_match.units_of(k, text)]
-    searcher = edit_match.Searcher(units)
+    searcher = edit_match.Searcher([(k, edit_match.plain(text)) for k, text in enumerate(items)])
     for _ in range(150):
         item = list(pick.choice(items))
         for _ in range(pick.randrange(8)):
@@ -181,7 +184,7 @@ def test_search_against_the_full_table():
 
 def test_any_excerpt_above_the_stated_length_is_found():
     items = [(r.item_id, r.text) for r in pd.read_parquet("/root/testdata/sf0.001/benchmark.parquet").itertuples()]
-    searcher = edit_match.Searcher([u for item in items for u in edit_match.units_of(*item)])
+    searcher = edit_match.Searcher([(item_id, edit_match.plain(text)) for item_id, text in items])
     sure, tried = edit_match.SURE, 0
     assert sure <= 88
     for item_id, text in items:
@@ -225,6 +228,42 @@ def test_short_items_inside_documents_and_items_without_id(spark):
     assert sorted(r.doc_id for r in edit_match.without_leaks(table, tests).collect()) == [2, 3, 5, 6, 10]
 
 
+def test_pieces_of_any_script_and_size_are_looked_up():
+    """Items of two to thirty characters of one to four bytes each, in texts that hold them and in texts that do not."""
+    pick = random.Random(5)
+    letters = "aé日😀b"
+    items = ["".join(pick.choice(letters) for _ in range(pick.randint(1, 4))) + " " + " ".join("".join(pick.choice(letters) for _ in range(pick.randint(1, 9))) for _ in range(pick.randint(1, 5)))
+             for _ in range(60)]
+    searcher = edit_match.Searcher(list(enumerate(map(edit_match.plain, items))))
+    texts = [f"{pick.choice(['', 'x ', 'é é '])}{item}{pick.choice(['', ' y', '. 日日'])}" for item in items] + ["".join(pick.choice(letters + " ") for _ in range(200)) for _ in range(20)]
+    for text, got in zip(texts, searcher.found_in(texts), strict=True):
+        text, expected = edit_match.plain(text), {}
+        for k, item in enumerate(items):
+            for unit in edit_match.units_of(k, item):
+                if unit.whole:
+                    distance = 0 if text == unit.text else 99
+                elif unit.exact:
+                    places = [m.start() for m in re.finditer(f"(?={re.escape(unit.text)})", text)]
+                    distance = 0 if any(not edit_match.joined(text, p) and not edit_match.joined(text, p + len(unit.text)) for p in places) else 99
+                else:
+                    distance = table_distance(unit.text, text)
+                if distance <= unit.edits:
+                    expected[k] = min(expected.get(k, 99), distance)
+        assert {k: m[0] for k, m in got.items()} == expected
+
+
+def test_many_items_fit_in_a_worker():
+    pick = random.Random(2)
+    items = [(k, " ".join("".join(pick.choice("abcdefgh") for _ in range(pick.randint(2, 7))) for _ in range(40))) for k in range(8000)]
+    tracemalloc.start()
+    searcher = edit_match.Searcher(items)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    size = sum(len(text) for _, text in items)
+    assert held < 20 * size
+    assert all(searcher.found(f"so {text} it")[k][0] == 0 for k, text in items[::200])
+
+
 def test_items_in_many_blocks_give_the_same_leaks(spark, monkeypatch):
     docs, items = (spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet") for name in ("documents", "benchmark"))
     whole = sorted(tuple(r) for r in edit_match.leaks(docs, items).collect())
