@@ -12,41 +12,35 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pyspark.sql.window import WindowSpec
 
+from ..functions.names import unused
 from ..session import settle
 
 BLOCK_ROWS = 500_000
-_PART_BITS = 33  # monotonically_increasing_id keeps the task number above this many bits
 
 
-def spread(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Rows in global (keys, order) order, cut into tasks of similar size.
+def positioned(df: DataFrame, order: list[Column | str], name: str) -> DataFrame:
+    """Rows with ``name``, their gapless position from 0 in the global ``order``.
 
-    Adds ``_part`` (number of the cut) and ``_place`` (ascending over all rows, with
-    gaps between cuts). ``order`` should end in a unique column; then no group of rows
-    is too big to be cut. The result is written once, so later steps agree on the cuts.
+    The rows are cut into ranges of similar size and sorted there; ``order`` should end in a unique column, then no range is too
+    big. They are written once, so the sizes of the ranges, one number each, and the rows agree; that table has one row
+    per range, which is why it may be broadcast.
     """
-    placed = (
-        df.repartitionByRange(*keys, *order)
-        .sortWithinPartitions(*keys, *order)
-        .withColumn("_place", F.monotonically_increasing_id())
-    )
-    return settle(placed).withColumn("_part", F.shiftright("_place", _PART_BITS))
+    place, part, start = (unused(column, df) for column in ("_place", "_part", "_start"))
+    ranged = settle(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                    .withColumns({place: F.monotonically_increasing_id(), part: F.spark_partition_id()}))
+    sizes = ranged.groupBy(part).agg(F.count(F.lit(1)).alias("rows"), F.min(place).alias("first"))
+    before = F.sum("rows").over(W.orderBy(part).rowsBetween(W.unboundedPreceding, -1))
+    starts = sizes.select(part, (F.coalesce(before, F.lit(0)) - F.col("first")).alias(start))
+    return ranged.join(F.broadcast(starts), part).withColumn(name, F.col(place) + F.col(start)).drop(place, part, start)
 
 
-def in_blocks(df: DataFrame, keys: list[str], order: list[str], block_rows: int) -> DataFrame:
-    """Rows in global order with ``_pos``, a gapless position from 0, and ``_home``, their block of ``block_rows``.
+def in_blocks(df: DataFrame, keys: list[str], order: list[str], block_rows: int, position: str = "_pos", home: str = "_home") -> DataFrame:
+    """Rows in global (keys, order) order with their ``position`` and ``home``, their block of ``block_rows``.
 
-    The position needs the number of rows in earlier cuts. That table has one row per
-    cut, which is why it may be broadcast.
+    This spreads a hot key over many tasks.
     """
-    placed = spread(df, keys, order)
-    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
-    inside = F.col("_place") - F.shiftleft("_part", _PART_BITS)
-    positioned = placed.join(F.broadcast(starts), "_part").withColumn("_pos", inside + F.col("_start"))
-    return positioned.withColumn("_home", F.floor(F.col("_pos") / block_rows).cast("bigint")).drop(
-        "_part", "_place", "_start")
+    placed = positioned(df, [*keys, *order], position)
+    return placed.withColumn(home, F.floor(F.col(position) / block_rows).cast("bigint"))
 
 
 def over_last_rows(df: DataFrame, keys: list[str], order: list[str], rows: int,
@@ -61,13 +55,14 @@ def over_last_rows(df: DataFrame, keys: list[str], order: list[str], rows: int,
     halo = rows - 1
     if halo >= block_rows:
         raise ValueError("a block must be longer than the frame")
-    blocks = in_blocks(df, keys, order, block_rows)
-    at_end = F.col("_pos") % block_rows >= block_rows - halo
+    position, home, block = (unused(name, df) for name in ("_pos", "_home", "_block"))
+    blocks = in_blocks(df, keys, order, block_rows, position, home)
+    at_end = F.col(position) % block_rows >= block_rows - halo
     copied = blocks.withColumn(
-        "_block", F.explode(F.when(at_end, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))))
-    frame = W.partitionBy(*keys, "_block").orderBy("_pos").rowsBetween(-halo, W.currentRow)
+        block, F.explode(F.when(at_end, F.array(home, F.col(home) + 1)).otherwise(F.array(home))))
+    frame = W.partitionBy(*keys, block).orderBy(position).rowsBetween(-halo, W.currentRow)
     framed = copied.withColumns({name: make(frame) for name, make in columns.items()})
-    return framed.filter(F.col("_block") == F.col("_home")).drop("_pos", "_home", "_block")
+    return framed.filter(F.col(block) == F.col(home)).drop(position, home, block)
 
 
 def running_sum_before(df: DataFrame, keys: list[str], order: list[str], value: Column,
@@ -77,11 +72,12 @@ def running_sum_before(df: DataFrame, keys: list[str], order: list[str], value:
     Summed inside each block, plus the sums of the key's earlier blocks: one number per
     key and block.
     """
-    blocks = in_blocks(df, keys, order, block_rows).withColumns({"_v": value, "_key": F.struct(*keys)})
-    sums = blocks.groupBy("_key", "_home").agg(F.sum("_v").alias("_sum"))
-    earlier = W.partitionBy("_key").orderBy("_home").rowsBetween(W.unboundedPreceding, -1)
-    starts = sums.select("_key", "_home", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
-    inside = W.partitionBy("_key", "_home").orderBy("_pos").rowsBetween(W.unboundedPreceding, -1)
-    local = blocks.withColumn("_local", F.coalesce(F.sum("_v").over(inside), F.lit(0)))
-    return local.join(starts, ["_key", "_home"]).select(
-        *df.columns, (F.col("_before") + F.col("_local")).cast("bigint").alias(out))
+    position, home, added, key, local, before = (unused(name, df) for name in ("_pos", "_home", "_v", "_key", "_local", "_before"))
+    blocks = in_blocks(df, keys, order, block_rows, position, home).withColumns({added: value, key: F.struct(*keys)})
+    sums = blocks.groupBy(key, home).agg(F.sum(added).alias("sum"))
+    earlier = W.partitionBy(key).orderBy(home).rowsBetween(W.unboundedPreceding, -1)
+    starts = sums.select(key, home, F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias(before))
+    inside = W.partitionBy(key, home).orderBy(position).rowsBetween(W.unboundedPreceding, -1)
+    summed = blocks.withColumn(local, F.coalesce(F.sum(added).over(inside), F.lit(0)))
+    return summed.join(starts, [key, home]).select(
+        *df.columns, (F.col(before) + F.col(local)).cast("bigint").alias(out))

@@ -7,7 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
+from ..functions.names import unused
 from .filters import search, select_events
+from .frames import positioned
 
 # Default page sizes of the two query APIs and the search limit.
 ACCESS_PAGE_SIZE = 20
@@ -78,6 +80,14 @@ def walk(df: DataFrame, size: int = EVENT_PAGE_SIZE, sort_by: str = "timestamp",
         after = (rows[-1][sort_by], rows[-1][tie])
 
 
+def numbered_pages(df: DataFrame, size: int = EVENT_PAGE_SIZE, sort_by: str = "timestamp", direction: str = "desc",
+                   tie: str | list[str] = "id") -> DataFrame:
+    """Every row with ``page``, the number of the page of ``size`` rows, from 0, that :func:`page_of` would show it on."""
+    position = unused("_position", df)
+    placed = positioned(df, sort_columns(df, sort_by, direction, tie), position)
+    return placed.withColumn("page", F.floor(F.col(position) / size).cast("bigint")).drop(position)
+
+
 def total_of(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("total"))
 

@@ -3,18 +3,25 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.json_codec import encode
 from ..schema import TRACED_EVENT_WIRE
 from ..session import shared_dir
 from ..sinks.tiers import read_hot
-from ..streaming import pipelines
+from ..sources.tail import file_system, tail_stream as tailed
+from ..streaming import pipelines, stateful
 from .catalog import query
-from .inputs import ACCESS_LOGS_SQL, AS_OF, LEVEL_CASE, LOG_EVENTS_SQL, SOURCE_CASE, lines_of
+from .inputs import ACCESS_LOGS_SQL, AS_OF, FILE_LINES_SQL, LEVEL_CASE, LOG_EVENTS_SQL, SOURCE_CASE, events, file_lines, lines_of
 from .limits import USER_CONTENT, _dedup_sql
 
+#: Parts in which a stream's input arrives, each behind the one before in time.
+ROUNDS = 3
+
 
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
@@ -75,28 +82,117 @@ def stream_upsert(spark, sf_dir):
     return spark.read.parquet(f"{base}/warm").drop("date", "epoch_s")
 
 
+def _in_rounds(spark: SparkSession, rows: DataFrame, base: str, start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Run a stream once for each of ``ROUNDS`` parts of ``rows``, in the order of their ``timestamp``; each run goes on from the last one's checkpoint."""
+    ends = rows.agg(F.percentile_approx(F.unix_micros(F.col("timestamp").cast("timestamp")), [k / ROUNDS for k in range(1, ROUNDS)]).alias("ends")).first()["ends"]
+    at = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    part = sum(((at > end).cast("int") for end in ends), F.lit(0))
+    for number in range(ROUNDS):
+        rows.where(F.coalesce(part, F.lit(0)) == number).write.parquet(f"{base}/in/part={number}")
+        start(spark.readStream.schema(rows.schema).parquet(f"{base}/in/part=*")).awaitTermination()
+
+
+def _hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.concat_ws(":", "event_type", F.col("user_id").cast("string"))
+    return events(spark, sf_dir).select(
+        F.col("event_id").alias("id"), F.col("ts").alias("timestamp"), text.alias("content"), F.sha2(text, 256).alias("content_hash"))
+
+
 @query("stream_dedup", "T1 J3 T6 T7", _dedup_sql(USER_CONTENT))
 def stream_dedup(spark, sf_dir):
+    """Three batches against the table of remembered hashes."""
     base = _run_dir(spark)
-    text = F.concat_ws(":", "event_type", F.col("user_id").cast("string"))
-    rows = _events_stream(spark, sf_dir).select(
-        F.col("event_id").alias("id"), F.col("ts").alias("timestamp"), text.alias("content"),
-        F.sha2(text, 256).alias("content_hash"))
-    pipelines.dedup_stream(rows, base, f"{base}/checkpoint").awaitTermination()
+    _in_rounds(spark, _hashed(spark, sf_dir), base, lambda rows: pipelines.dedup_stream(rows, base, f"{base}/checkpoint"))
     return spark.read.parquet(f"{base}/events").select("id", "timestamp", "content")
 
 
-@query("stream_dedup_watermark", "T1", """
-    select distinct sha256(concat(event_type, ':', user_id)) as content_hash from events""")
-def stream_dedup_watermark(spark, sf_dir):
-    """The built-in form; which late repeats it drops depends on the batches. Inside one batch one row of each hash stays."""
+@query("stream_dedup_state", "T1 J3 T6", _dedup_sql(USER_CONTENT))
+def stream_dedup_state(spark, sf_dir):
+    """Three batches against keyed state: the same rows."""
     base = _run_dir(spark)
-    rows = _events_stream(spark, sf_dir).select(
-        F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("timestamp"),
-        F.sha2(F.concat_ws(":", "event_type", F.col("user_id").cast("string")), 256).alias("content_hash"))
-    (pipelines.drop_repeats_within_watermark(rows).writeStream.format("parquet")
-     .option("path", f"{base}/events").option("checkpointLocation", f"{base}/checkpoint")
-     .trigger(availableNow=True).start().awaitTermination())
-    return spark.read.parquet(f"{base}/events").select("content_hash")
+    stateful.keep_state(spark)
+
+    def start(rows: DataFrame) -> StreamingQuery:
+        zoned = rows.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+        return (stateful.drop_repeats_stream(zoned).writeStream.format("parquet").option("path", f"{base}/events")
+                .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
 
+    _in_rounds(spark, _hashed(spark, sf_dir), base, start)
+    return spark.read.parquet(f"{base}/events").select("id", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "content")
 
+
+@query("stream_failure_rate", "W4 T6", f"""with calls as (
+      select event_id as id, {SOURCE_CASE} as instance, ts as "timestamp", event_type = 'error' as failed from events),
+    framed as (select *, count(*) over w as calls, cast(sum(failed::int) over w as bigint) as bad_calls from calls
+      window w as (partition by instance order by "timestamp", id rows between 9 preceding and current row))
+    select id, instance, "timestamp", calls, bad_calls, bad_calls / calls as rate, calls >= 5 and bad_calls / calls >= 0.5 as tripped from framed""")
+def stream_failure_rate(spark, sf_dir):
+    """Three batches; the last ten calls of an instance go over from one to the next."""
+    base = _run_dir(spark)
+    stateful.keep_state(spark)
+    calls = events(spark, sf_dir).select(F.col("event_id").alias("id"), F.expr(SOURCE_CASE).alias("instance"), F.col("ts").alias("timestamp"),
+                                         (F.col("event_type") == "error").alias("failed"))
+
+    def start(rows: DataFrame) -> StreamingQuery:
+        return (stateful.bad_call_rate_stream(rows, "failed").writeStream.format("parquet").option("path", f"{base}/rates")
+                .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+
+    _in_rounds(spark, calls, base, start)
+    return spark.read.parquet(f"{base}/rates").drop("failed")
+
+
+@query("stream_dedup_watermark", "T1", f"""
+    with firsts as (select event_id as id, ts as "timestamp", sha256({USER_CONTENT}) as content_hash,
+      row_number() over (partition by {USER_CONTENT} order by ts, event_id) as rn from events)
+    select content_hash, count(*) as rows, true as first_kept, true as apart from firsts where rn = 1 group by content_hash""")
+def stream_dedup_watermark(spark, sf_dir):
+    """The built-in form in three batches: which rows of a batch it keeps is open, but each hash has one in the batch it
+    first comes in, and rows that it keeps in different batches are apart by the life time."""
+    base = _run_dir(spark)
+
+    def start(rows: DataFrame) -> StreamingQuery:
+        zoned = rows.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+        return (pipelines.drop_repeats_within_watermark(zoned).writeStream.format("parquet")
+                .option("path", f"{base}/events").option("checkpointLocation", f"{base}/checkpoint")
+                .trigger(availableNow=True).start())
+
+    rows = _hashed(spark, sf_dir)
+    _in_rounds(spark, rows, base, start)
+    kept = spark.read.parquet(f"{base}/events").withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    before = F.lag("timestamp").over(W.partitionBy("content_hash").orderBy("timestamp"))
+    apart = F.coalesce(F.col("timestamp") >= before + F.expr("interval 30 minutes"), F.lit(True))
+    parts = spark.read.parquet(f"{base}/in").select("id", "part", "content_hash")
+    first_part = parts.groupBy("content_hash").agg(F.min("part").alias("first_part"))
+    marked = kept.withColumn("apart", apart).join(parts.select("id", "part"), "id")
+    found = marked.groupBy("content_hash").agg(F.min("part").alias("part"), F.min("apart").alias("apart")).join(first_part, "content_hash")
+    return found.select("content_hash", F.lit(1).cast("bigint").alias("rows"), (F.col("part") == F.col("first_part")).alias("first_kept"), "apart")
+
+
+@query("tail_stream", "S7 S8 P8 T6", f"with {FILE_LINES_SQL} select content, count(*) as rows from file_lines group by content")
+def tail_stream(spark, sf_dir):
+    """Files that grow twice while they are read: every complete line comes once."""
+    base = _run_dir(spark)
+    lines = file_lines(spark, sf_dir).withColumn("file", F.concat(F.lit(f"{base}/logs/"), F.md5("file_path"), F.lit("-"), (F.col("event_id") % 4).cast("string"), F.lit(".log")))
+    for number in range(ROUNDS):
+        _append(lines.where(F.floor(F.col("event_id") / 4) % ROUNDS == number).select("file", "event_id", "content"))
+        (tailed(spark, f"{base}/logs").writeStream.format("parquet").option("path", f"{base}/lines")
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination())
+    return spark.read.parquet(f"{base}/lines").groupBy("content").agg(F.count("*").alias("rows"))
+
+
+def _append(lines: DataFrame) -> None:
+    """Stands for the programs that write logs: each task appends to its files."""
+
+    def run(batches):
+        for batch in batches:
+            held = {}
+            for path, line in zip(batch.column("file").to_pylist(), batch.column("content").to_pylist(), strict=True):
+                held.setdefault(path, []).append(line + "\n")
+            for path, own in held.items():
+                files, inner, _ = file_system(path)
+                files.create_dir(inner.rpartition("/")[0])
+                with files.open_append_stream(inner) as out:
+                    out.write("".join(own).encode())
+            yield pa.RecordBatch.from_arrays([pa.array([len(held)], pa.int64())], ["files"])
+
+    lines.repartition("file").sortWithinPartitions("file", "event_id").mapInArrow(run, "files bigint").count()

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import functools
 import uuid
-from collections import Counter
 from datetime import timedelta
 
 from pyspark.sql import functions as F
@@ -13,16 +11,18 @@ from ..functions.text import size_in_bytes
 from ..functions.time import as_datetime, moment
 from ..operators import joins
 from ..operators.latest import upsert
-from ..operators.paging import page_after, walk
+from ..operators.paging import numbered_pages
 from ..operators.stats import count_by
-from ..session import settle, settled_here, shared_dir
-from ..sinks import rotation, tiers, warm
+from ..session import settle, shared_dir
+from ..sinks import compaction, rotation, tiers, warm
 from .catalog import query
 from .inputs import AS_OF, LOG_EVENTS_SQL, events, log_events, with_metadata
 
 _EVENT = ["id", "level", "message", "timestamp"]
 #: Rows of a page where the whole log is walked; the number of pages grows with the log.
-_WALK_SIZE = 500
+_PAGE_SIZE = 500
+#: Batches of a table that is merged.
+_BATCHES = 20
 
 
 def _versions(spark, sf_dir):
@@ -265,37 +265,71 @@ def journal_table(spark, sf_dir):
     return found.select("line.id", "line.kind")
 
 
-@query("pages_walked", "O1 O2", f"""with {LOG_EVENTS_SQL}
-    select organization_id, cast(count(*) as bigint) as rows, cast(sum(id) as bigint) as ids from log_events where id % 97 = 0 group by 1""")
+def _halved_levels(spark, sf_dir):
+    """The log with a level that half of the rows lack."""
+    return log_events(spark, sf_dir).select(
+        "id", "organization_id", F.when(F.col("id") % 2 == 0, F.col("level")).alias("level"))
+
+
+@query("pages_walked", "O1 O2", f"""with {LOG_EVENTS_SQL},
+    thin as (select id, case when id % 2 = 0 then level end as level from log_events),
+    placed as (select id, level, row_number() over (order by level nulls first, id) - 1 as place from thin)
+    select cast(place // {_PAGE_SIZE} as bigint) as page, count(*) as rows, cast(sum(id) as bigint) as ids, min(level) as first_level, max(level) as last_level
+    from placed group by 1""")
 def pages_walked(spark, sf_dir):
-    """All pages by a column with nulls, one after the other, hold every row once."""
-    rows = log_events(spark, sf_dir).filter("id % 97 = 0")
-    thin = rows.withColumn("level", F.when(F.col("id") % 2 == 0, F.col("level")))
-    pages, after, size = [], None, max(1, rows.count() // 6 + 1)
-    while True:
-        page = page_after(thin, after, size, "level", "asc")
-        last = page.select("level", "id").orderBy(F.col("level").desc(), F.col("id").desc()).first()
-        if last is None:
-            break
-        pages.append(page)
-        after = tuple(last)
-    return functools.reduce(lambda a, b: a.unionByName(b), pages).groupBy("organization_id").agg(
-        F.count("*").alias("rows"), F.sum("id").alias("ids"))
+    """Every page of the whole log by a column with nulls."""
+    pages = numbered_pages(_halved_levels(spark, sf_dir), _PAGE_SIZE, "level", "asc")
+    return pages.groupBy("page").agg(F.count("*").alias("rows"), F.sum("id").alias("ids"),
+                                     F.min("level").alias("first_level"), F.max("level").alias("last_level"))
 
 
 @query("pages_walked_all", "O1 O2", f"""with {LOG_EVENTS_SQL},
     thin as (select id, organization_id, case when id % 2 = 0 then level end as level from log_events)
     select organization_id, level, cast(count(*) as bigint) as rows, cast(sum(id) as bigint) as ids from thin group by 1, 2""")
 def pages_walked_all(spark, sf_dir):
-    """All rows of the log, page by page by a level that half of them lack; each row is on one page."""
-    rows, ids = Counter(), Counter()
-    with settled_here(spark):
-        thin = settle(log_events(spark, sf_dir).select(
-            "id", "organization_id", F.when(F.col("id") % 2 == 0, F.col("level")).alias("level")))
-        for page in walk(thin, _WALK_SIZE, "level", "asc"):
-            for row in page:
-                key = (row.organization_id, row.level)
-                rows[key] += 1
-                ids[key] += row.id
-    found = [(*key, count, ids[key]) for key, count in rows.items()]
-    return spark.createDataFrame(found, "organization_id string, level string, rows bigint, ids bigint")
+    """The rows of all pages together are those of the log, each once."""
+    pages = numbered_pages(_halved_levels(spark, sf_dir), _PAGE_SIZE, "level", "desc")
+    return pages.groupBy("organization_id", "level").agg(F.count("*").alias("rows"), F.sum("id").alias("ids"))
+
+
+@query("compact_table", "K7 K8 K17 T6", f"""with {LOG_EVENTS_SQL}
+    select id, case when id % 5 = 0 then lower(level) else level end as level, "timestamp", 1 as folders_of_day
+    from log_events where "timestamp" >= timestamp '{AS_OF}' - interval 255 hour""")
+def compact_table(spark, sf_dir):
+    """A table in twenty batches: a merge that breaks off, rows read meanwhile, a merge of everything, then upsert and retention."""
+    path = f"{_folder(spark)}/warm"
+    rows = log_events(spark, sf_dir).select("id", "level", "timestamp", F.lit(0).alias("write"))
+    for number in range(_BATCHES):
+        warm.append_events(rows.filter(F.col("id") % _BATCHES == number), path, number)
+    compaction.copy_folders(spark, path, _BATCHES // 2, ["date"], "parquet", ["timestamp"], None, 2)
+    half = settle(compaction.stored(spark, path).drop("batch", "date", "epoch_s"))
+    warm.append_events(rows.filter("id % 5 = 0"), path, _BATCHES)  # once more, to be overlaid below
+    compaction.compact_warm(spark, path, _BATCHES + 1)
+    warm.upsert_events(half.filter("id % 5 = 0").withColumns({"level": F.lower("level"), "write": F.lit(1)}), path, version="write")
+    warm.apply_retention(spark, path, as_datetime(AS_OF) - timedelta(hours=15), days=10)
+    found = compaction.stored(spark, path)
+    folders = found.groupBy("date").agg(F.count_distinct("batch").cast("int").alias("folders_of_day"))
+    return found.join(folders, found["date"].eqNullSafe(folders["date"])).select("id", "level", "timestamp", "folders_of_day")
+
+
+@query("compact_hot_cold", "K10 K11", f"""with {LOG_EVENTS_SQL},
+    shared as (select *, md5(concat('s', cast(id // 3 as varchar))) as trace from log_events),
+    live as (select trace, id, row_number() over (partition by trace order by id % 3 desc) as rn from shared
+      where "timestamp" > timestamp '{AS_OF}' - interval 24 hour),
+    cold as (select lower(level) as level, id from shared where level in ('ERROR', 'WARN') or "timestamp" < timestamp '{AS_OF}' - interval 7 day)
+    select 'hot' as tier, trace as name, cast(1 as bigint) as rows, id as ids from live where rn = 1
+    union all select 'cold', level, count(*), cast(sum(id) as bigint) from cold group by 2""")
+def compact_hot_cold(spark, sf_dir):
+    """Three batches in the tiers, merged but for the last and then with it; the last written document of a trace id stays."""
+    base, rows = _folder(spark), _shared_traces(spark, sf_dir)
+    for number in range(3):
+        tiers.store_batch(rows.filter(F.col("id") % 3 == number), base, AS_OF, number)
+    for below in (2, 3):
+        compaction.compact_hot(spark, f"{base}/hot", below)
+        compaction.compact_cold(spark, f"{base}/cold", below)
+    ids = F.get_json_object("document", "$.id").cast("bigint")
+    hot = tiers.read_hot(spark, f"{base}/hot", AS_OF).select(
+        F.lit("hot").alias("tier"), F.col("trace_id").alias("name"), F.lit(1).cast("bigint").alias("rows"), ids.alias("ids"))
+    lines = compaction.stored(spark, f"{base}/cold", ["level", "date"], "text")
+    cold = lines.groupBy("level").agg(F.count("*").alias("rows"), F.sum(F.get_json_object("value", "$.id").cast("bigint")).alias("ids"))
+    return hot.unionByName(cold.select(F.lit("cold").alias("tier"), F.col("level").alias("name"), "rows", "ids"))

@@ -6,6 +6,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+# Columns that rows are looked up by.
+LOOKUP_COLUMNS = ["id", "trace_id"]
 # What Spark calls the partition of rows whose partition value is null.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -14,6 +16,11 @@ def with_day(df: DataFrame, ts: str = "timestamp", day: str = "date") -> DataFra
     return df.withColumn(day, F.to_date(ts))
 
 
+def lookup_options(events: DataFrame) -> dict[str, str]:
+    """Write options that let a lookup by id skip row groups without the value."""
+    return {f"parquet.bloom.filter.enabled#{name}": "true" for name in LOOKUP_COLUMNS if name in events.columns}
+
+
 def balanced(df: DataFrame, *columns: str) -> DataFrame:
     """Rows of one target partition together, but a big partition split over several tasks.
 
@@ -81,6 +88,15 @@ def drop_partitions(spark: SparkSession, path: str, names: Iterable[str]) -> Non
         files.delete(found, True)
 
 
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; its new parent is made if it is not there."""
+    files, found = _hadoop_path(spark, source)
+    _, place = _hadoop_path(spark, target)
+    files.mkdirs(place.getParent())
+    if not files.rename(found, place):
+        raise OSError(f"{source} cannot be moved to {target}")
+
+
 def day_folder(day: object, column: str = "date") -> str:
     return f"{column}={NULL_PARTITION if day is None else day}"
 

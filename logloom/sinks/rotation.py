@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.text import parse_size
 from ..functions.time import Moment, as_datetime, before, moment
 from ..sources.files import file_sizes
+from .compaction import finish_compactions
 from .layout import balanced, drop_files, drop_partitions, list_folder, table_exists
 
 # The rotation limits and the stamp in a rotated name.
@@ -81,6 +82,7 @@ def rotate(spark: SparkSession, path: str, archive: str, as_of: Moment, max_size
     completed or undone by the next one. One rotation of a table runs at a time.
     """
     finish_rotations(spark, archive)
+    finish_compactions(spark, path)
     columns = ["level", "date", "file_name", "rotated_name", "reason"]
     files = spark.createDataFrame(_cold_files(spark, path).collect(), _cold_files(spark, path).schema)  # one listing
     listed = _partitions_of(files)

@@ -9,6 +9,7 @@ from ..functions.time import Moment, before, moment
 from ..operators.filters import cold_condition, cold_eligible
 from ..operators.joins import HOT_HOURS, hot_view
 from ..operators.latest import latest_per_key
+from . import compaction
 from .layout import day_folder, drop_partitions, with_day, write_partitions
 from .warm import append_events
 
@@ -30,7 +31,7 @@ def read_hot(spark: SparkSession, path: str, as_of: Moment) -> DataFrame:
     Later batches are later writes; inside a batch there is one document per trace id.
     """
     since = before(as_of, hours=HOT_HOURS)
-    stored = spark.read.parquet(path).filter(
+    stored = compaction.stored(spark, path).filter(
         (F.col("date") >= F.lit(since.date())) & (F.col("timestamp") > moment(since)))
     written = [F.col("batch").desc(), F.col("timestamp").desc_nulls_last(), F.col("document").desc()]
     return latest_per_key(stored, ["trace_id"], written).select("trace_id", "timestamp", "document")
@@ -39,6 +40,7 @@ def read_hot(spark: SparkSession, path: str, as_of: Moment) -> DataFrame:
 def expire_hot(spark: SparkSession, path: str, as_of: Moment) -> None:
     """Drop the days of the hot tier that have outlived their time as a whole."""
     oldest = F.lit(before(as_of, hours=HOT_HOURS).date())
+    compaction.finish_compactions(spark, path)
     days = spark.read.parquet(path).filter(F.col("date") < oldest).select("date").distinct()
     drop_partitions(spark, path, [day_folder(row["date"]) for row in days.collect()])
 

@@ -12,22 +12,17 @@ from ..operators.filters import EPOCH
 from ..operators.joins import cascade
 from ..operators.latest import upsert
 from ..session import settle, settled_here
-from .layout import (day_folder, drop_partitions, on_days, replace_partitions, table_exists, with_day,
+from .compaction import finish_compactions
+from .layout import (day_folder, drop_partitions, lookup_options, on_days, replace_partitions, table_exists, with_day,
                      write_partitions)
 from .letters import append_letters
 
 # Fixed value: how long events are kept.
 RETENTION_DAYS = 30
-LOOKUP_COLUMNS = ["id", "trace_id"]
 #: Batch number of days that were merged.
 MERGED = -1
 
 
-def _lookup_options(events: DataFrame) -> dict[str, str]:
-    """Write options that let a lookup by id skip row groups without the value."""
-    return {f"parquet.bloom.filter.enabled#{name}": "true" for name in LOOKUP_COLUMNS if name in events.columns}
-
-
 def with_bounds(events: DataFrame) -> DataFrame:
     """Add the columns that time filters use to skip partitions and row groups."""
     return with_day(events).withColumn(EPOCH, epoch_seconds(F.col("timestamp")))
@@ -37,7 +32,7 @@ def append_events(events: DataFrame, path: str, batch_id: int | None = None,
                   within: list[str] | None = None) -> None:
     """Append to the day partitions, sorted by time inside files, with filters for lookups by id."""
     write_partitions(with_bounds(events), path, ["date"], batch_id=batch_id, within=within or ["timestamp"],
-                     **_lookup_options(events))
+                     **lookup_options(events))
 
 
 def append_metadata(events: DataFrame, path: str, batch_id: int | None = None, key: str = "id") -> None:
@@ -71,6 +66,7 @@ def upsert_events(batch: DataFrame, path: str, key: str = "id", version: str = "
         if not table_exists(spark, path):
             _replace_days(upsert(incoming.limit(0), incoming, key, version, arrival), path)
             return
+        finish_compactions(spark, path)
         stored = spark.read.parquet(path)
         batched = "batch" in stored.columns
         touched = incoming.select("date")
@@ -91,7 +87,7 @@ def upsert_events(batch: DataFrame, path: str, key: str = "id", version: str = "
 
 
 def _replace_days(events: DataFrame, path: str, columns: list[str] | None = None) -> None:
-    replace_partitions(events, path, columns or ["date"], within=["timestamp"], **_lookup_options(events))
+    replace_partitions(events, path, columns or ["date"], within=["timestamp"], **lookup_options(events))
 
 
 def expired(events: DataFrame, as_of: Moment, days: int = RETENTION_DAYS, ts: str = "timestamp") -> DataFrame:
@@ -113,6 +109,7 @@ def apply_retention(spark: SparkSession, path: str, as_of: Moment, days: int = R
     events, and on the edge day the rows whose event has gone.
     """
     limit = as_datetime(as_of) - timedelta(days=days)
+    finish_compactions(spark, path)
     stored = spark.read.parquet(path)
     deleted = expired(stored.filter(F.col("date") <= F.lit(limit.date())), as_of, days).count()
     if not deleted:
@@ -120,6 +117,7 @@ def apply_retention(spark: SparkSession, path: str, as_of: Moment, days: int = R
     with settled_here(spark):
         kept = settle(retained(stored.filter(F.col("date") == F.lit(limit.date())), as_of, days))
         if children is not None and table_exists(spark, children):
+            finish_compactions(spark, children)
             rows = spark.read.parquet(children)
             own = rows.filter(F.col("date") == F.lit(limit.date()))
             _keep_days(spark, children, limit, settle(cascade(own, kept, key)), [])
@@ -138,5 +136,5 @@ def _keep_days(spark: SparkSession, path: str, limit: datetime, kept: DataFrame,
     emptied = last_day.select(columns).distinct().join(kept.select(columns).distinct(), columns, "left_anti")
     gone += ["/".join(f"{c}={row[c]}" for c in columns) for row in emptied.collect()]
     if not kept.isEmpty():
-        replace_partitions(kept, path, columns, within=within, **_lookup_options(kept))
+        replace_partitions(kept, path, columns, within=within, **lookup_options(kept))
     drop_partitions(spark, path, gone)

@@ -55,7 +55,7 @@ class Part(InputPartition):
     ranges: list[Range]
 
 
-def _file_system(path: str) -> tuple[pafs.FileSystem, str, str]:
+def file_system(path: str) -> tuple[pafs.FileSystem, str, str]:
     """The file system of a path or URI, the path inside it, and what a URI has before that."""
     scheme, colon, inner = path.partition(":")
     if not colon or "/" in scheme or scheme == "file":
@@ -65,7 +65,7 @@ def _file_system(path: str) -> tuple[pafs.FileSystem, str, str]:
 
 
 def _opened(path: str) -> pa.NativeFile:
-    files, inner, _ = _file_system(path)
+    files, inner, _ = file_system(path)
     return files.open_input_file(inner)
 
 
@@ -73,7 +73,7 @@ def matching_files(where: list[str], pattern: str) -> dict[str, int]:
     """Path and size of the files below the directories; as in Spark, names with ``_`` or ``.`` in front are hidden."""
     found = {}
     for place in where:
-        files, inner, prefix = _file_system(place)
+        files, inner, prefix = file_system(place)
         for entry in files.get_file_info(pafs.FileSelector(inner, allow_not_found=True, recursive=True)):
             below = entry.path[len(inner):].split("/")
             if entry.type == pafs.FileType.File and fnmatch.fnmatch(entry.base_name, pattern) and not any(name[:1] in ("_", ".") for name in below if name):

@@ -2,10 +2,11 @@ import random
 from collections import defaultdict
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from logloom.operators import dedup
+from logloom.operators import chains, dedup
 
 START = datetime(2024, 3, 1)
 
@@ -114,3 +115,49 @@ def test_late_rows_are_no_repeats(spark):
     seen = frame(spark, [(0, "a", 20_000)]).select("content_hash", "timestamp")
     found = dedup.drop_seen(frame(spark, [(1, "a", 100), (2, "a", 200), (3, "a", 20_100), (4, "a", 30_000)]), seen)
     assert sorted(r["id"] for r in found.collect()) == [1, 4]
+
+
+def test_chains_of_many_keys_in_small_batches(spark):
+    """Keys whose times cross the borders of Arrow batches, as many keys as rows among them."""
+    rng = random.Random(11)
+    data = [(i, f"k{rng.randrange(40)}" if i % 3 else f"alone{i}", rng.randrange(0, 9000)) for i in range(2500)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for limit in (1, 20, 10_000):
+            found = dedup.drop_repeats(frame(spark, data), ttl_seconds=500, block_rows=limit)
+            assert sorted(r["id"] for r in found.collect()) == kept_by_hand(data, 500)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_kernels_against_single_steps():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        sizes = rng.integers(1, 12, rng.integers(1, 9))
+        heads = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        times = np.concatenate([np.sort(rng.integers(-50, 50, n)) for n in sizes])
+        ttl, earliest = int(rng.integers(1, 30)), rng.integers(-60, 60, len(sizes))
+        kept, from_entry, exits = [], [], []
+        for head, size, entry in zip(heads, sizes, earliest, strict=True):
+            own = times[head : head + size]
+            for into, begin in ((kept, -(10**9)), (from_entry, entry)):
+                for k, t in enumerate(own):
+                    if t >= begin:
+                        into.append(head + k)
+                        begin = t + ttl
+            for t in own:
+                while len(later := own[own >= t + ttl]):
+                    t = later[0]
+                exits.append(t + ttl)
+        assert chains.kept_of(heads, times, ttl).tolist() == kept
+        assert chains.kept_of(heads, times, ttl, earliest).tolist() == from_entry
+        assert chains.exits_of(heads, times, ttl).tolist() == exits
+
+
+def test_keys_with_short_spans_never_reach_python(spark):
+    """Distinct hashes are settled by one aggregate."""
+    data = [(i, f"h{i}", i) for i in range(300)] + [(1000 + i, f"h{i}", i + 5) for i in range(300)]
+    found = dedup.drop_repeats(frame(spark, data), ttl_seconds=60)
+    assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["id"] for r in found.collect()) == list(range(300))

@@ -31,14 +31,17 @@ def test_positions_are_gapless_and_ordered(skewed):
         row[1]: (i, i // 100) for i, row in enumerate(expected)}
 
 
-def test_a_hot_key_is_spread(spark, skewed):
+def test_a_hot_key_is_spread(spark, skewed, monkeypatch):
     _, df = skewed
+    written, settle = [], frames.settle
+    monkeypatch.setattr(frames, "settle", lambda rows: written.append(settle(rows)) or written[0])
     before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        parts = frames.spread(df, ["k"], ["n"]).filter("k = 'hot'").groupBy("_part").count().collect()
+        frames.positioned(df, ["k", "n"], "at")
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    parts = written[0].filter("k = 'hot'").groupBy("_part").count().collect()
     assert len(parts) >= 6 and max(r["count"] for r in parts) < 2000
 
 

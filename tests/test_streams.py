@@ -8,11 +8,11 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from logloom.operators import dedup
+from logloom.operators import dedup, rolling
 from logloom.schema import TRACED_EVENT_WIRE
 from logloom.sinks.tiers import read_hot
 from logloom.sources import files
-from logloom.streaming import pipelines
+from logloom.streaming import pipelines, stateful
 
 AS_OF = "2024-05-10 00:00:00"
 LINE = '10.0.0.{} - - [01/May/2024:10:{:02d}:00 +0000] "GET /x HTTP/1.1" {} 10'
@@ -145,3 +145,37 @@ def test_topic_source_needs_its_package(spark, missing):
 
     with pytest.raises(Exception, match="(?i)kafka"):
         topics.read_topic_stream(spark, "host:1", topics.LOG_EVENTS)
+
+
+def test_repeats_by_keyed_state(spark, tmp_path):
+    """Batches in time order give what one run of the batch operator gives; a restart in between changes nothing."""
+    rng = random.Random(6)
+    source, out, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    start = datetime(2024, 3, 1)
+    data = [(k, rng.choice(["a"] * 6 + ["b", "c", None]), start + timedelta(seconds=s)) for k, s in enumerate(sorted(rng.randrange(20_000) for _ in range(600)))]
+    data += [(9999, "a", None)]
+    schema = "id bigint, content_hash string, timestamp timestamp"
+    stateful.keep_state(spark)
+    for number in range(3):
+        spark.createDataFrame(data[number * 200 : number * 200 + 200 + (number == 2)], schema).coalesce(1).write.parquet(f"{source}/part={number}")
+        rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{source}/part=*")
+        (stateful.drop_repeats_stream(rows, ttl_seconds=700).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
+    expected = dedup.drop_repeats(spark.createDataFrame(data, schema), ttl_seconds=700)
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == sorted(r["id"] for r in expected.collect())
+
+
+def test_call_rates_by_keyed_state(spark, tmp_path):
+    source, out, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    rng = random.Random(8)
+    data = [(k, rng.choice("aaab"), rng.choice([True, False, None])) for k in range(200)]
+    schema = "id bigint, instance string, failed boolean"
+    stateful.keep_state(spark)
+    for number in range(4):
+        spark.createDataFrame(data[number * 50 : number * 50 + 50], schema).write.parquet(f"{source}/part={number}")
+        rows = spark.readStream.schema(schema).parquet(f"{source}/part=*")
+        (stateful.bad_call_rate_stream(rows, "failed", order=["id"], window=4, min_calls=3).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
+    columns = ["id", "instance", "calls", "bad_calls", "rate", "tripped"]
+    expected = rolling.failure_rate(spark.createDataFrame(data, schema), order=["id"], window=4, min_calls=3).select(columns)
+    assert sorted(map(tuple, spark.read.parquet(out).select(columns).collect())) == sorted(map(tuple, expected.collect()))
