@@ -3,9 +3,11 @@ and a skewed partition of a sort-merge join is split."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..functions.names import unused
 from ..functions.time import Moment, before, moment
+from .frames import BLOCK_ROWS, in_blocks
 from .latest import newest
 
 # Life times of the hot tier and of cached locations.
@@ -83,6 +85,36 @@ def add_location(events: DataFrame, locations: DataFrame) -> DataFrame:
     return events.join(locations.select("ip_address", "location"), "ip_address", "left")
 
 
+def location_as_of(events: DataFrame, locations: DataFrame, ts: str = "timestamp", tie: str = "id", days: int = LOCATION_DAYS,
+                   block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``events`` with the ``location`` that was last written for their address up to their own time, if that was at most ``days`` before.
+
+    Of locations written at one moment the largest counts. Events and locations are put in one order by address and time and cut into
+    blocks; a block looks back inside itself, and only what was last known at the end of earlier blocks, one row per address and block, is carried
+    on. So an address that holds most rows is still spread over many tasks. Events without address or time have no location.
+    """
+    position, home, key, at, kind, row, known, unique, carried = (
+        unused(name, events) for name in ("_position", "_home", "_ip", "_time", "_kind", "_row", "_known", "_tie", "_carried"))
+    timed = F.col("ip_address").isNotNull() & F.col(ts).isNotNull()
+    moment_of = lambda column: F.col(column).cast("timestamp_ntz")
+    asked = events.filter(timed).select(F.col("ip_address").alias(key), moment_of(ts).alias(at), F.lit(1).alias(kind), F.col(tie).cast("string").alias(unique),
+                                        F.struct(*events.columns).alias(row), F.lit(None).cast("string").alias(known))
+    told = locations.filter(F.col("ip_address").isNotNull() & F.col("cached_at").isNotNull()).select(
+        F.col("ip_address").alias(key), moment_of("cached_at").alias(at), F.lit(0).alias(kind), F.col("location").alias(unique),
+        F.lit(None).cast(asked.schema[row].dataType).alias(row), F.col("location").alias(known))
+    blocks = in_blocks(asked.unionByName(told), [key], [at, kind, unique], block_rows, position, home)
+    last = F.when(F.col(kind) == 0, F.struct(F.col(position), F.col(at), F.col(known)))
+    ends = blocks.groupBy(key, home).agg(F.max(last).alias(carried))
+    earlier = W.partitionBy(key).orderBy(home).rowsBetween(W.unboundedPreceding, -1)
+    ends = ends.select(key, home, F.last(carried, ignorenulls=True).over(earlier).alias(carried))
+    inside = W.partitionBy(key, home).orderBy(position).rowsBetween(W.unboundedPreceding, W.currentRow)
+    seen = blocks.withColumn(known, F.last(last, ignorenulls=True).over(inside)).filter(F.col(kind) == 1).join(ends, [key, home])
+    found = F.coalesce(known, carried)
+    fresh = F.when(found[at] >= F.col(at) - F.make_dt_interval(F.lit(days)), found[known])
+    located = seen.select(f"{row}.*", fresh.alias("location"))
+    return located.unionByName(events.filter(~timed).withColumn("location", F.lit(None).cast("string")))
+
+
 def system_stats(stats: DataFrame, services: list[str], metric: str) -> DataFrame:
     """One row with a column per service; a service without statistics shows ``unavailable``."""
     return stats.filter(F.col("metric") == metric).agg(*[

@@ -344,6 +344,26 @@ def geo_enrich(spark, sf_dir):
     return joins.add_location(logs, joins.live_locations(written, AS_OF)).select("event_id", "ip_address", "location")
 
 
+@query("geo_as_of", "J4", f"""
+    with written as (
+      select concat('10.0.', cast(user_id % 4 as varchar), '.', cast(user_id % 250 as varchar)) as ip_address,
+        ts + (event_id % 9) * interval 1 hour as cached_at, max(n_name) as location
+      from events join nation on n_nationkey = event_id % 25 group by 1, 2),
+    {ACCESS_LOGS_SQL}
+    select a.event_id, a.ip_address, a."timestamp", case when w.cached_at >= a."timestamp" - interval 7 day then w.location end as location
+    from access_logs a asof left join written w on a.ip_address = w.ip_address and a."timestamp" >= w.cached_at
+    where a.log_format <> 'failed'""")
+def geo_as_of(spark, sf_dir):
+    """Each line with the location last known when it was written; every event writes one, up to eight hours later."""
+    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("_n"), F.col("n_name").alias("location"))
+    address = F.concat(F.lit("10.0."), (F.col("user_id") % 4).cast("string"), F.lit("."), (F.col("user_id") % 250).cast("string"))
+    later = F.make_dt_interval(F.lit(0), (F.col("event_id") % 9).cast("int"))
+    written = events(spark, sf_dir).select(
+        address.alias("ip_address"), (F.col("ts") + later).alias("cached_at"), (F.col("event_id") % 25).alias("_n")).join(nations, "_n")
+    logs = parsed_only(parsed_lines(spark, sf_dir)).select("event_id", "ip_address", "timestamp")
+    return joins.location_as_of(logs, written, tie="event_id")
+
+
 @query("hot_warm_lookup", "J2 U2 F13", f"""with {LOG_EVENTS_SQL},
     wanted as (select distinct md5(concat('t', cast(event_id * 3 as varchar))) as trace_id from events),
     hot as (select * from log_events where "timestamp" > timestamp '{AS_OF}' - interval 24 hour)

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.json_codec import encode
 from ..schema import TRACED_EVENT_WIRE
 from ..session import shared_dir
+from ..sinks.layout import drop_files
 from ..sinks.tiers import read_hot
 from ..sources.tail import file_system, tail_stream as tailed
 from ..streaming import pipelines, stateful
@@ -48,6 +49,19 @@ def stream_parse(spark, sf_dir):
         "event_id", "timestamp", "ip_address", "status_code", "response_size", "response_time", "log_format")
 
 
+@query("stream_counters", "A7 A9 A13 T6", f"""with {ACCESS_LOGS_SQL}
+    select log_format, count(*) as lines from access_logs group by 1""")
+def stream_counters(spark, sf_dir):
+    """Counters that a parse stream writes beside its rows, over three batches of which the last is run twice."""
+    base = _run_dir(spark)
+    rows = events(spark, sf_dir).withColumn("timestamp", F.col("ts"))
+    start = lambda stream: pipelines.parse_stream(lines_of(stream), base, f"{base}/checkpoint", _clock, keep=["event_id"], counters=f"{base}/counters")
+    _in_rounds(spark, rows, base, start)
+    drop_files(spark, [f"{base}/checkpoint/commits/{ROUNDS - 1}", f"{base}/checkpoint/commits/.{ROUNDS - 1}.crc"])  # as if it had broken off before the end
+    start(spark.readStream.schema(rows.schema).parquet(f"{base}/in/part=*")).awaitTermination()
+    return pipelines.read_counters(spark, f"{base}/counters").select("log_format", "lines")
+
+
 @query("stream_tiers", "S3 S12 K8 K10 K11 K12 T6", f"""with {LOG_EVENTS_SQL},
     sent as (select id, level, date_trunc('second', "timestamp") as "timestamp" from log_events)
     select 'warm' as tier, level, count(*) as count from sent group by 2

@@ -38,20 +38,31 @@ def _each_batch(stream: DataFrame, handle: Callable[[DataFrame, int], None], che
 
 
 def parse_stream(lines: DataFrame, base: str, checkpoint: str, clock: Clock = wall_clock,
-                 line: str = "value", keep: list[str] | None = None, every: str | None = None) -> StreamingQuery:
-    """Access-log lines to ``base/parsed`` and ``base/dlq``; parsed once, routed twice."""
+                 line: str = "value", keep: list[str] | None = None, every: str | None = None, counters: str | None = None) -> StreamingQuery:
+    """Access-log lines to ``base/parsed`` and ``base/dlq``; parsed once, routed twice.
+
+    ``counters`` names a folder for the numbers of lines of each batch by format, see :func:`read_counters`.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_access_lines(batch, clock(), line, keep).persist()
         try:
             write_partitions(with_day(parsed_only(parsed)), f"{base}/parsed", ["date"], batch_id=batch_id)
             append_letters(dead_letters(parsed), f"{base}/dlq", batch_id)
+            if counters is not None:
+                counted = parsed.groupBy("log_format").agg(F.count(F.lit(1)).alias("lines"))
+                write_partitions(counted.coalesce(1), counters, [], batch_id=batch_id)
         finally:
             parsed.unpersist()
 
     return _each_batch(lines, handle, checkpoint, every).start()
 
 
+def read_counters(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of a running parse stream so far, by format, and its batches; a batch that was run again counts once."""
+    return spark.read.parquet(path).groupBy("log_format").agg(F.sum("lines").alias("lines"), F.count_distinct("batch").alias("batches"))
+
+
 def tier_stream(records: DataFrame, schema: T.StructType, base: str, checkpoint: str,
                 clock: Clock = wall_clock, id_from: list[str] | None = None,
                 every: str | None = None) -> StreamingQuery:
