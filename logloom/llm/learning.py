@@ -6,7 +6,7 @@ import zlib
 from collections.abc import Callable, Iterable
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 #: Rows that a model is fitted on at most, and bytes of the longest text among them.
@@ -33,6 +33,21 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int =
     return sorted((row.text, row._label) for row in found.collect())
 
 
+def smallest(table: DataFrame, hashed: Column, tie: str, rows: int, total: int) -> list[Row]:
+    """The ``rows`` rows of ``table`` with the smallest 64-bit hashes; ``total`` says about how many rows it has.
+
+    Only rows below a bound on the hash, about four times as many as wanted, leave the tasks, however many tasks there are.
+    """
+    share = 4 * rows + 100
+    while True:
+        below = -(1 << 63) + (share << 64) // max(1, total)
+        few = table.where(hashed < F.lit(below)) if below < 1 << 63 else table
+        found = few.orderBy(hashed, tie).limit(rows).collect()
+        if len(found) == rows or few is table:
+            return found
+        share *= 16
+
+
 def bucket(feature: str, buckets: int) -> int:
     return zlib.crc32(feature.encode("utf-8", "replace")) % buckets
 

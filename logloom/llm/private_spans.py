@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import map_slices, pick, texts_of
-from .learning import bucket
+from .learning import bucket, smallest
 from .semi_markov import Field, Window, best_types, train
 
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -331,8 +331,7 @@ def examples(texts: list[str], put_in: int = PUT_IN, salt: int = 3) -> tuple[lis
 def private_model(docs: DataFrame, rows: int = SAMPLE_ROWS, most: int = SAMPLE_BYTES) -> Field:
     """Fitted on the ``rows`` texts of at most ``most`` bytes with the smallest hashes of ids."""
     texts = pick(docs, "doc_id", "text").where(F.col("text").isNotNull() & (F.octet_length("text") <= most))
-    sample = texts.orderBy(F.xxhash64("doc_id"), "text").limit(rows).collect()
-    return train(*examples([row.text for row in sample]), list(KINDS), BUCKETS)
+    return train(*examples([row.text for row in smallest(texts, F.xxhash64("doc_id"), "text", rows, docs.count())]), list(KINDS), BUCKETS)
 
 
 def field_spans(text: str, model: Field) -> list[Span]:

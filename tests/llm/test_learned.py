@@ -6,8 +6,9 @@ import zlib
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from logloom.llm import attention, language_crf, noisy_or
+from logloom.llm import attention, language_crf, learning, noisy_or
 from logloom.llm.learning import Known, labelled_sample
 
 SF = "/root/testdata/sf0.1"
@@ -213,3 +214,13 @@ def test_scores_of_documents_are_those_of_plain_loops():
         expected = 1 / (1 + np.exp(-(bag @ w["out"] + w["out_b"][0])))
         assert got == pytest.approx(expected, abs=2e-3)
         assert model.scores([text])[0] == pytest.approx(expected, abs=1e-4)
+
+
+def test_smallest_hashes_leave_the_tasks_alone(spark):
+    """Also where the table has fewer rows than said, or all rows share few hashes."""
+    table = spark.range(3000).selectExpr("id", "id % 7 as few", "cast(id as string) as text").repartition(5)
+    for hashed in (F.xxhash64("id"), F.xxhash64("few"), F.lit(1 << 62)):
+        wanted = [r.id for r in table.orderBy(hashed, "text").limit(20).collect()]
+        for total in (0, 3000, 10**12):
+            assert [r.id for r in learning.smallest(table, hashed, "text", 20, total)] == wanted
+    assert learning.smallest(table.limit(0), F.xxhash64("id"), "text", 20, 0) == []
