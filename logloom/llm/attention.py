@@ -72,6 +72,7 @@ def bags_of(texts: list[str], table: Known) -> Bags:
     properties = _sums(table.rows[numbers][:, FORMS:], starts, ends) / length[:, None]
     again = np.zeros(len(numbers), np.float32)
     again[1:] = numbers[1:] == numbers[:-1]
+    again[begin[begin < len(numbers)]] = 0
     place = np.repeat(np.arange(first[-1]), ends - starts)
     size = int(numbers.max()) + 1 if len(numbers) else 1
     different = np.bincount(np.unique(place * size + numbers) // size, minlength=first[-1])
