@@ -31,7 +31,7 @@ COORDINATES, AGREEING = BANDS * ROWS, 245
 #: Rounds with one leader for each class go on, up to ``LEADER_ROUNDS``, while comparing all that is left would make more than
 #: ``PAIRS_EACH`` pairs for each member of a group and the last round has saved a fifth of them. All that is left is compared at the end.
 LEADER_ROUNDS, PAIRS_EACH, SAVED = 6, 8, 0.2
-#: Members of a group that one task compares with all others, and others at a time.
+#: Members of a group that one task compares with so many others, and others at a time.
 PART, AT_ONCE = 512, 64
 
 
@@ -153,32 +153,35 @@ def _all_left(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFra
     """Links (a, b) of members outside their group's largest component with members of other components.
 
     Groups with the same largest component are compared together, so a class is there once however many bands it shares.
-    The members to be compared are cut into parts; a task holds the sketches and sets of one part and lets the others pass by. Only links become rows.
+    The members to be compared are cut into parts, and so are all members; each two parts meet in a place of their own, where the sketches and
+    sets of one are held while the others pass by. So no task gets more than a few times ``PART`` members of a group. Only links become rows.
     """
     sizes = groups.groupBy("key", "component").agg(F.count("*").alias("own"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("own", "component")).alias("top")).select("key", F.col("top.component").alias("largest"))
     members = settle(groups.join(largest, "key").select("largest", "class_id", "size", "component").distinct())
-    counts = members.where("component <> largest").groupBy("largest").agg(F.expr(f"cast(ceil(count(*) / {PART}) as int)").alias("parts"))
+    in_parts = f"cast(ceil(count({{}}) / {PART}) as int)"
+    counts = members.groupBy("largest").agg(F.expr(in_parts.format("nullif(component = largest, true)")).alias("parts"), F.expr(in_parts.format("*")).alias("slices"))
     wanted = settle(members.select(F.col("class_id").alias("doc_id")).distinct())
     known = settle(classes.select("class_id", "marks").join(full_sets(docs, wanted, "class_id"), "class_id"))
     place = F.expr("""explode(concat(
-        if(component <> largest, array(struct(cast(pmod(xxhash64(class_id), parts) as int) as part, false as passing)), array()),
-        transform(sequence(0, parts - 1), part -> struct(part, true as passing)))) as place""")
-    dealt = members.join(counts, "largest").select("largest", "class_id", "size", "component", place)
-    dealt = dealt.select("largest", "place.part", "place.passing", "class_id", "size", "component").join(known, "class_id")
+        if(component <> largest, transform(sequence(0, slices - 1),
+            slice -> struct(cast(pmod(xxhash64(class_id), parts) as int) as part, slice, false as passing)), array()),
+        transform(sequence(0, parts - 1), part -> struct(part, cast(pmod(xxhash64(class_id), slices) as int) as slice, true as passing)))) as place""")
+    dealt = members.join(counts.where("parts > 0"), "largest").select("largest", "class_id", "size", "component", place)
+    dealt = dealt.select("largest", "place.part", "place.slice", "place.passing", "class_id", "size", "component").join(known, "class_id")
 
     def run(batches):
         at, waiting = None, []
         for batch in batches:
-            keys, parts = batch.column("largest").to_numpy(), batch.column("part").to_numpy()
+            places = np.column_stack([batch.column(name).to_numpy() for name in ("largest", "part", "slice")])
             passing = batch.column("passing").to_numpy(zero_copy_only=False)
-            edges = np.flatnonzero((np.diff(keys) != 0) | (np.diff(parts) != 0) | (np.diff(passing.astype(np.int8)) != 0)) + 1
+            edges = np.flatnonzero((np.diff(places, axis=0) != 0).any(axis=1) | (np.diff(passing.astype(np.int8)) != 0)) + 1
             for begin, end in zip([0, *edges], [*edges, batch.num_rows], strict=True):
                 if begin == end:
                     continue
                 rows = batch.slice(begin, end - begin)
-                if at != (keys[begin], parts[begin]):
-                    at, waiting = (keys[begin], parts[begin]), []
+                if at != tuple(places[begin]):
+                    at, waiting = tuple(places[begin]), []
                 if not passing[begin]:
                     waiting.append(rows)
                     continue
@@ -188,7 +191,7 @@ def _all_left(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFra
                     if (found := _compared(waiting[0], rows.slice(k, AT_ONCE))).num_rows:
                         yield found
 
-    dealt = dealt.repartition("largest", "part").sortWithinPartitions("largest", "part", "passing")
+    dealt = dealt.repartition("largest", "part", "slice").sortWithinPartitions("largest", "part", "slice", "passing")
     return in_arrow(dealt, run, "a bigint, b bigint").distinct()
 
 

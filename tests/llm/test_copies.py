@@ -171,8 +171,9 @@ def near_rows(seed):
     return [(order[k] * 3, text) for k, text in enumerate(texts)]
 
 
-@pytest.mark.parametrize("rounds", [0, 6])
-def test_near_classes_against_brute_force(spark, monkeypatch, rounds):
+@pytest.mark.parametrize(("rounds", "part"), [(0, 512), (6, 512), (0, 5)])
+def test_near_classes_against_brute_force(spark, monkeypatch, rounds, part):
+    monkeypatch.setattr(near_duplicates, "PART", part)
     monkeypatch.setattr(near_duplicates, "LEADER_ROUNDS", rounds)
     monkeypatch.setattr(near_duplicates, "PAIRS_EACH", 0.01)
     rows = near_rows(rounds)
