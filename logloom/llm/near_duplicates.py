@@ -33,6 +33,8 @@ COORDINATES, AGREEING = BANDS * ROWS, 245
 LEADER_ROUNDS, PAIRS_EACH, SAVED = 6, 8, 0.2
 #: Members of a group that one task compares with so many others, and others at a time.
 PART, AT_ONCE = 512, 64
+#: Tasks that the members of a group are dealt from.
+COPIES = 32
 
 
 def sketched(docs: DataFrame) -> DataFrame:
@@ -167,7 +169,10 @@ def _all_left(docs: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFra
         if(component <> largest, transform(sequence(0, slices - 1),
             slice -> struct(cast(pmod(xxhash64(class_id), parts) as int) as part, slice, false as passing)), array()),
         transform(sequence(0, parts - 1), part -> struct(part, cast(pmod(xxhash64(class_id), slices) as int) as slice, true as passing)))) as place""")
-    dealt = members.join(counts.where("parts > 0"), "largest").select("largest", "class_id", "size", "component", place)
+    # Each group's counts come in some copies, so that the rows of a large group meet them in several tasks.
+    copies = counts.where("parts > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
+    spread = members.withColumn("copy", F.pmod(F.xxhash64("class_id"), F.lit(COPIES)).cast("int"))
+    dealt = spread.join(copies, ["largest", "copy"]).select("largest", "class_id", "size", "component", place)
     dealt = dealt.select("largest", "place.part", "place.slice", "place.passing", "class_id", "size", "component").join(known, "class_id")
 
     def run(batches):
