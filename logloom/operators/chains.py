@@ -167,6 +167,15 @@ def _following(names: list[str], ttl: int, key: str) -> Callable[[Iterator[pa.Re
     return keep
 
 
+def _gathered(df: DataFrame, names: list[str]) -> DataFrame:
+    """Each group of equal ``names`` whole in one task, sorted by them and by time.
+
+    The rows are dealt by a hash of the names. Dealt by the names themselves after a join on them, Spark leaves the second shuffle out, and when it then
+    turns the join into a broadcast join, its tasks read the first shuffle by its writers, which cuts the groups.
+    """
+    return df.repartition(F.xxhash64(*names)).sortWithinPartitions(*names, "_at")
+
+
 def _in_blocks(times: DataFrame, key: str, ttl: int, block_rows: int) -> DataFrame:
     """The kept times of keys with more rows than a block."""
     times = times.distinct().withColumn("_slice", F.floor(F.col("_at") / F.lit(ttl)).cast("bigint"))
@@ -175,11 +184,11 @@ def _in_blocks(times: DataFrame, key: str, ttl: int, block_rows: int) -> DataFra
     numbered = counts.select(key, "_slice", F.floor(F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) / F.lit(block_rows)).cast("bigint").alias("_block"))
     placed = settle(times.join(numbered, [key, "_slice"]).select(key, "_block", "_at"))
     names, long, schema = [key, "_block"], T.LongType(), placed.schema
-    exits = (placed.repartition(*names).sortWithinPartitions(*names, "_at")
+    exits = (_gathered(placed, names)
              .mapInArrow(_leaving(names, ttl), T.StructType([*schema, T.StructField("_exit", long)])))
     entries = (exits.repartition(key).sortWithinPartitions(*names, "_at")
                .mapInArrow(_entering(key), T.StructType([schema[key], schema["_block"], T.StructField("_entry", long)])))
-    ready = placed.join(entries, names, "left").repartition(*names).sortWithinPartitions(*names, "_at")
+    ready = _gathered(placed.join(entries, names, "left"), names)
     return ready.mapInArrow(_following(names, ttl, key), T.StructType([schema[key], schema["_at"]]))
 
 
@@ -194,7 +203,7 @@ def chain_times(df: DataFrame, key: str, ts: str, ttl_seconds: int, block_rows:
     sizes = longer.agg(F.count_if(F.col("_rows") <= block_rows).alias("few"), F.count_if(F.col("_rows") > block_rows).alias("many")).first()
     if sizes["few"]:
         own = times.join(longer.where(F.col("_rows") <= block_rows).select(name), name, "left_semi")
-        kept = kept.union(own.repartition(name).sortWithinPartitions(name, "_at").mapInArrow(_following([name], ttl, name), own.schema))
+        kept = kept.union(_gathered(own, [name]).mapInArrow(_following([name], ttl, name), own.schema))
     if sizes["many"]:
         own = times.join(longer.where(F.col("_rows") > block_rows).select(name), name, "left_semi")
         kept = kept.union(_in_blocks(own, name, ttl, block_rows))

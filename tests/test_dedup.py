@@ -161,3 +161,22 @@ def test_keys_with_short_spans_never_reach_python(spark):
     found = dedup.drop_repeats(frame(spark, data), ttl_seconds=60)
     assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString()
     assert sorted(r["id"] for r in found.collect()) == list(range(300))
+
+
+@pytest.mark.parametrize("limit", [20, 10_000])
+def test_chains_stay_whole_when_a_join_is_turned_into_a_broadcast_join(spark, tmp_path, limit):
+    """Then Spark reads a shuffle by its writers; a chain of each writer's times would keep too much."""
+    data = [(i, "ab"[i % 2], i * 7 % 5003) for i in range(1200)]
+    for part in range(4):
+        frame(spark, [r for r in data if r[0] // 2 % 4 == part]).coalesce(1).write.parquet(f"{tmp_path}/in/part={part}")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.maxPartitionBytes": "4k", "spark.sql.files.openCostInBytes": "4k"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        rows = spark.read.parquet(f"{tmp_path}/in").drop("part")
+        found = sorted(r["id"] for r in dedup.drop_repeats(rows, ttl_seconds=60, block_rows=limit).collect())
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert found == kept_by_hand(data, 60)
