@@ -179,3 +179,24 @@ def test_call_rates_by_keyed_state(spark, tmp_path):
     columns = ["id", "instance", "calls", "bad_calls", "rate", "tripped"]
     expected = rolling.failure_rate(spark.createDataFrame(data, schema), order=["id"], window=4, min_calls=3).select(columns)
     assert sorted(map(tuple, spark.read.parquet(out).select(columns).collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_repeats_of_many_keys_share_state(spark, tmp_path):
+    """Python is called for buckets, not for keys: the state has a row and a timer for a bucket, and the rows are those of the batch operator."""
+    rng = random.Random(9)
+    source, out, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    start = datetime(2024, 3, 1)
+    data = [(k, rng.randrange(150), start + timedelta(seconds=s)) for k, s in enumerate(sorted(rng.randrange(9_000) for _ in range(1500)))]
+    schema = "id bigint, _bucket bigint, timestamp timestamp"
+    stateful.keep_state(spark)
+    held = []
+    for number in range(3):
+        spark.createDataFrame(data[number * 500 : number * 500 + 500], schema).coalesce(1).write.parquet(f"{source}/part={number}")
+        rows = spark.readStream.schema(schema).parquet(f"{source}/part=*")
+        query = (stateful.drop_repeats_stream(rows, key="_bucket", ttl_seconds=900, buckets=4).writeStream.format("parquet").option("path", out)
+                 .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        query.awaitTermination()
+        held += [operator["numRowsTotal"] for progress in query.recentProgress for operator in json.loads(progress.json)["stateOperators"]]
+    expected = dedup.drop_repeats(spark.createDataFrame(data, schema), key="_bucket", ttl_seconds=900)
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == sorted(r["id"] for r in expected.collect())
+    assert 0 < max(held) <= 4 * 3
