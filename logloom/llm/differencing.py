@@ -31,21 +31,43 @@ def differenced(sizes: np.ndarray, ways: int) -> list[list[int]]:
             return -int(sizes[k[0]]), int(k[0]), sizes[k].astype(np.int64), k
         return heapq.heappop(merged)
 
-    for _ in range(count - 1):
-        _, _, sums, trees = largest()
+    parts = count
+    while parts > 1:
+        before = at
+        _, order, sums, trees = largest()
+        if at > before:  # numbers in a row: with a group to spare the largest is the imbalance, so each joins the one before
+            end = at
+            while end < min(count, before + ways) and (not merged or (-int(sizes[single[end]]), int(single[end])) < merged[0][:2]):
+                end += 1
+            if end > at:
+                at, trees = end, single[before:end].copy()
+                sums, order = sizes[trees].astype(np.int64), int(trees[-1])
+                parts -= len(trees) - 1
+                least = int(sums[-1]) if len(sums) == ways else 0
+                heapq.heappush(merged, (least - int(sums[0]), order, sums, trees))
+                continue
         _, order, more, others = largest()
-        more, others = more[::-1], others[::-1]
-        shared = max(0, len(sums) + len(more) - ways)
-        alone = len(sums) - shared
-        made = np.arange(nodes, nodes + shared)
-        left[made - count], right[made - count] = trees[alone:], others[:shared]
-        nodes += shared
-        sums = np.concatenate([sums[:alone], sums[alone:] + more[:shared], more[shared:]])
-        trees = np.concatenate([trees[:alone], made, others[shared:]])
-        down = np.argsort(-sums, kind="stable")
-        sums = sums[down]
+        parts -= 1
+        if len(sums) == ways and len(more) == 1:  # one number into the emptiest group
+            left[nodes - count], right[nodes - count] = trees[-1], others[0]
+            total = sums[-1] + more[0]
+            to = int(np.searchsorted(-sums[:-1], -total, "right"))
+            sums[to + 1 :], trees[to + 1 :] = sums[to:-1], trees[to:-1]
+            sums[to], trees[to] = total, nodes
+            nodes += 1
+        else:
+            more, others = more[::-1], others[::-1]
+            shared = max(0, len(sums) + len(more) - ways)
+            alone = len(sums) - shared
+            made = np.arange(nodes, nodes + shared)
+            left[made - count], right[made - count] = trees[alone:], others[:shared]
+            nodes += shared
+            sums = np.concatenate([sums[:alone], sums[alone:] + more[:shared], more[shared:]])
+            trees = np.concatenate([trees[:alone], made, others[shared:]])
+            down = np.argsort(-sums, kind="stable")
+            sums, trees = sums[down], trees[down]
         least = int(sums[-1]) if len(sums) == ways else 0
-        heapq.heappush(merged, (least - int(sums[0]), order, sums, trees[down]))
+        heapq.heappush(merged, (least - int(sums[0]), order, sums, trees))
     groups = []
     for tree in largest()[3]:
         group, todo = [], [int(tree)]

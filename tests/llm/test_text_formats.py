@@ -1,6 +1,8 @@
 """Chat templates, formatted conversations, tokens and packing: exact round trips."""
 
 import hashlib
+import heapq
+import json
 import random
 import tracemalloc
 import zlib
@@ -118,6 +120,34 @@ def test_differencing_keeps_all_and_balances():
     assert sorted(sorted(np.array([8, 7, 6, 5, 4])[g].tolist()) for g in differenced(np.array([8, 7, 6, 5, 4]), 2)) == [[4, 5, 7], [6, 8]]
 
 
+def merged_one_by_one(sizes, ways):
+    parts = [(-size, k, [(size, [k])]) for k, size in enumerate(sizes)]
+    while len(parts) > 1:
+        (_, _, some), (_, place, more), *parts = sorted(parts, key=lambda part: part[:2])
+        alone, more = min(len(some), ways - len(more)), more[::-1]
+        both = [(x + y, g + h) for (x, g), (y, h) in zip(some[alone:], more, strict=False)]
+        groups = sorted(some[:alone] + both + more[len(both) :], key=lambda group: -group[0])
+        parts.append(((groups[-1][0] if len(groups) == ways else 0) - groups[0][0], place, groups))
+    return [sorted(group) for _, group in parts[0][2]] + [[] for _ in range(ways - len(parts[0][2]))]
+
+
+def test_differencing_merges_as_one_by_one():
+    pick = np.random.default_rng(3)
+    for _ in range(300):
+        sizes = pick.integers(0, pick.choice([2, 9, 600]), pick.integers(1, 60))
+        sizes[pick.random(len(sizes)) < pick.choice([0, 0.5])] = 512
+        ways = int(pick.integers(2, 20))
+        assert differenced(sizes, ways) == merged_one_by_one(sizes.tolist(), ways)
+
+
+def test_numbers_in_a_row_are_merged_in_one_step(monkeypatch):
+    pushed, push = [], heapq.heappush
+    monkeypatch.setattr(heapq, "heappush", lambda heap, item: (pushed.append(item[0]), push(heap, item)))
+    sizes = np.concatenate([np.full(1200, 512), np.random.default_rng(4).integers(1, 513, 1600)])
+    assert sorted(k for group in differenced(sizes, 512) for k in group) == list(range(2800))
+    assert len(pushed) < 1000
+
+
 def test_memory_of_many_small_pieces_is_bounded(spark):
     """Dense partial partitions take 1.7 GB for these sizes."""
     tracemalloc.start()
@@ -144,6 +174,44 @@ def test_word_ids_are_those_of_the_tokenizer():
         assert [i.tolist() for i in words.ids([t.encode() for t in texts])] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+class Watched:
+    """A tokenizer that notes the words it gets."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.got = tokenizer, []
+
+    def encode_batch_fast(self, words, **more):
+        self.got += words
+        return self.tokenizer.encode_batch_fast(words, **more)
+
+
+def test_words_of_letters_go_to_the_model_and_are_kept_once_whatever_follows():
+    tokenizer = Tokenizer.from_str(tokenizer_definition())
+    words = WordIds(tokenizer_definition())
+    words.tokenizer = seen = Watched(tokenizer)
+    pick = random.Random(5)
+    bare = ["".join(pick.choices("aeinorstßéñüÿ", k=9)) for _ in range(500)]
+    texts = [" ".join((word.capitalize() if word[0].isascii() and pick.random() < 0.5 else word) + mark for word in bare) for mark in ("", ",", ".", "###", "!!")]
+    texts += ["×. ÷, it's. naïve? e\u0301, É! п. привет, 3,000. a.b,c; <|endoftext|>Ab, —."]
+    for _ in range(2):
+        assert [i.tolist() for i in words.ids([t.encode() for t in texts])] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert not set(seen.got) & set(bare)
+    assert len(seen.got) < 100
+    assert len(words.known) < 600
+
+
+def test_word_ids_of_other_tokenizers():
+    plain = json.loads(tokenizer_definition())
+    named = plain | {"added_tokens": [*plain["added_tokens"], {"id": 49408, "content": "abc", "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": False}]}
+    cased = plain | {"normalizer": {"type": "NFC"}}
+    spaced = plain | {"pre_tokenizer": {"type": "Sequence", "pretokenizers": [plain["pre_tokenizer"]["pretokenizers"][0], {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": False}]}}
+    raw = plain | {"normalizer": None}
+    texts = ["", "abc xabcy Abc, the THE the.", "naïve, é ###", "  it's; ok"]
+    for definition in map(json.dumps, (named, cased, spaced, raw)):
+        tokenizer = Tokenizer.from_str(definition)
+        assert [i.tolist() for i in WordIds(definition).ids([t.encode() for t in texts])] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def check_pieces(pieces, docs):
     """Every token once, sequences gapless and within the capacity, digests right; gives the share of padding."""
     tokenizer = Tokenizer.from_str(tokenizer_definition())
